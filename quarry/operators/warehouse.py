@@ -40,13 +40,17 @@ def category_spend(
     items: DataFrame,
     flag: str = "in_area",
     form: str = "join",
+    link: DataFrame | None = None,
+    link_on: str | Column | None = None,
 ) -> DataFrame:
     """Average purchase per customer flag, over purchases of selected items.
 
     ``items`` holds the selected item ids (``amenid``).  ``form='join'`` is an
     inner join; ``form='distinct'`` joins a DISTINCT id list (a semi-join in
-    effect).  The selection is applied to purchases first, before the join
-    with customers, so the big join sees only matching rows.
+    effect); both agree when item ids are unique.  The selection is applied
+    to purchases first, so every later (shuffle) join sees only matching
+    rows.  ``link`` optionally attaches ``custid`` after the selection (e.g.
+    line items -> orders).
     """
     if form == "join":
         chosen = purchases.join(items.select("amenid"), "amenid")
@@ -54,6 +58,8 @@ def category_spend(
         chosen = purchases.join(items.select("amenid").distinct(), "amenid", "left_semi")
     else:
         raise ValueError(form)
+    if link is not None:
+        chosen = chosen.join(link, link_on)
     return chosen.join(flags, "custid").groupBy(flag).agg(F.avg("amount").alias("average_amount"))
 
 
