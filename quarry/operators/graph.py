@@ -2,9 +2,10 @@
 path reconstruction by joins along the ``prev`` links.
 
 Nothing about the graph passes through the driver: the loop only asks
-whether the improved set is empty.  Each pass's state is checkpointed to the
-shared checkpoint folder, which cuts the lineage (the plan does not grow
-with the pass count) and survives the loss of executors.
+whether the improved set is empty.  Each pass's state is written as Parquet
+to the shared checkpoint folder and read back: one job per table, the
+lineage is cut (the plan does not grow with the pass count), and the state
+survives the loss of executors.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarry.session import ensure_checkpoint_dir
+from quarry.session import ensure_checkpoint_dir, materialize
 from quarry.sources.schemas import PATH_STATE
 
 
@@ -65,11 +66,13 @@ def shortest_paths(
                 best.join(known, "node", "left")
                 .where(F.col("_old").isNull() | (F.col("dist") < F.col("_old")))
                 .select("node", "dist", "prev", "hops")
-                .checkpoint()
             )
+            improved = materialize(improved, f"sssp-improved-{i}")
             if improved.isEmpty():
                 break
-            dist = dist.join(improved.select("node"), "node", "left_anti").unionByName(improved).checkpoint()
+            dist = materialize(
+                dist.join(improved.select("node"), "node", "left_anti").unionByName(improved), f"sssp-dist-{i}"
+            )
             frontier = improved
             if trace is not None:
                 trace(i, dist)

@@ -13,14 +13,14 @@ def log_rows(lines: DataFrame, position: str | None = None, value: str = "value"
 
     ``req_id`` hashes the parsed fields plus a deterministic line position,
     so a retried task reproduces the same ids and identical lines still get
-    distinct ids.  Without a ``position`` column, the file name and the row's
-    index inside the file split are used (stable for a given input).
+    distinct ids.  Without a ``position`` column, the file name and
+    ``monotonically_increasing_id`` (split index + row index in the split,
+    stable for the same input splits) are used.
     """
     if position is None:
         lines = lines.select(
             value,
-            F.concat_ws("#", F.col("_metadata.file_path"), F.col("_metadata.file_block_start").cast("string"),
-                        F.monotonically_increasing_id().cast("string")).alias("_pos"),
+            F.concat_ws("#", F.input_file_name(), F.monotonically_increasing_id().cast("string")).alias("_pos"),
         )
         position = "_pos"
     parsed = parse_access_log(lines, value)

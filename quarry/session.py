@@ -74,3 +74,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     # getCheckpointDir() appends a per-application uuid folder; keep scratch
     # next to it so that all of a run's data lives in one shared place.
     return os.path.join(root.rstrip("/"), "scratch", f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def materialize(df, name: str):
+    """Write ``df`` as Parquet under the shared checkpoint root and read it
+    back: one job, a reliable copy that survives lost executors, and a plan
+    whose lineage starts at the written files (for iterative jobs)."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
