@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quarry.functions.text import evaluate_once
+
 
 def parse(value: Column | str = "value") -> Column:
     col = F.col(value) if isinstance(value, str) else value
@@ -43,8 +45,7 @@ def pick_comments(lines: DataFrame, score_type: str = "bigint", value: str = "va
     * ``score`` missing -> 0; present but not convertible -> row dropped
     * ``author`` missing -> ``'unknown'``
     """
-    v = parse(value)
-    parsed = lines.select(v.alias("v")).select(
+    parsed = evaluate_once(lines, parse(value), "v").select(
         get(F.col("v"), "subreddit", "string").alias("subreddit"),
         get_or_default(F.col("v"), "score", score_type, 0).alias("score"),
         F.when(~present(F.col("v"), "author"), F.lit("unknown"))
@@ -56,7 +57,7 @@ def pick_comments(lines: DataFrame, score_type: str = "bigint", value: str = "va
 
 def parse_objects(lines: DataFrame, value: str = "value") -> DataFrame:
     """Keep every line that parses as JSON, as a ``v VARIANT`` column."""
-    return lines.select(parse(value).alias("v")).where(F.col("v").isNotNull())
+    return evaluate_once(lines, parse(value), "v").where(F.col("v").isNotNull())
 
 
 def path_text(json_text: Column | str, path: str) -> Column:

@@ -29,6 +29,18 @@ INTEGER_TEXT = r"^\s*[+-]?\d+(_\d+)*\s*$"
 # ---------------------------------------------------------------------------
 
 
+def evaluate_once(df: DataFrame, expr: Column, name: str, keep=()) -> DataFrame:
+    """``df`` with ``expr`` computed once per row as column ``name``.
+
+    Catalyst pushes filters below projections by inlining aliased
+    expressions, so a parsed value used by several predicates would be
+    re-parsed (a regex split, a JSON parse) once per predicate.  A
+    one-element ``explode`` is a barrier the optimizer does not inline
+    through; it costs nothing else (no shuffle, stays in codegen).
+    """
+    return df.select(*keep, F.explode(F.array(expr)).alias(name))
+
+
 def word_separator(unicode_space: bool = False) -> str:
     if not unicode_space:
         return WORD_SEPARATORS
@@ -80,14 +92,15 @@ def parse_access_log(lines: DataFrame, value: str = "value") -> DataFrame:
     offset is matched and discarded, so ``datetime`` is wall-clock NTZ.
     """
     v = F.col(value)
-    parsed = lines.where(v.rlike(ACCESS_LOG)).select(
-        *[c for c in lines.columns if c != value],
-        F.regexp_extract(v, ACCESS_LOG, 1).alias("host"),
-        F.try_to_timestamp(F.regexp_extract(v, ACCESS_LOG, 2), F.lit(ACCESS_LOG_TIME))
-        .cast("timestamp_ntz")
-        .alias("datetime"),
-        F.regexp_extract(v, ACCESS_LOG, 3).alias("path"),
-        F.regexp_extract(v, ACCESS_LOG, 4).try_cast("bigint").alias("bytes"),
+    keep = [c for c in lines.columns if c != value]
+    groups = F.struct(*[F.regexp_extract(v, ACCESS_LOG, i).alias(f"g{i}") for i in range(1, 5)])
+    parts = evaluate_once(lines, groups, "g", keep)
+    parsed = parts.where(F.col("g.g1") != "").select(
+        *keep,
+        F.col("g.g1").alias("host"),
+        F.try_to_timestamp(F.col("g.g2"), F.lit(ACCESS_LOG_TIME)).cast("timestamp_ntz").alias("datetime"),
+        F.col("g.g3").alias("path"),
+        F.col("g.g4").try_cast("bigint").alias("bytes"),
     )
     return parsed.where(F.col("datetime").isNotNull() & F.col("bytes").isNotNull())
 
@@ -120,11 +133,11 @@ def parse_adjacency(lines: DataFrame, value: str = "value", weight: float = 1.0)
 
 def parse_points(lines: DataFrame, value: str = "value") -> DataFrame:
     """``x y`` lines -> ``(x DOUBLE, y DOUBLE)``; malformed lines are dropped."""
-    parts = F.split(F.trim(F.col(value)), r"\s+")
+    parts = evaluate_once(lines, F.split(F.trim(F.col(value)), r"\s+"), "p")
     return (
-        lines.select(
-            F.get(parts, 0).try_cast("double").alias("x"),
-            F.get(parts, 1).try_cast("double").alias("y"),
+        parts.select(
+            F.get("p", 0).try_cast("double").alias("x"),
+            F.get("p", 1).try_cast("double").alias("y"),
         )
         .where(F.col("x").isNotNull() & F.col("y").isNotNull())
     )

@@ -26,7 +26,9 @@ def word_count(lines: DataFrame, text: str = "value", keep_empty: bool = False,
     ``keep_empty=True`` also counts the empty strings produced by leading or
     trailing separators.
     """
-    words = lines.select(F.explode(T.tokens(text, keep_empty=keep_empty, unicode_space=unicode_space)).alias("word"))
+    words = lines.select(F.explode(T.tokens(text, keep_empty=True, unicode_space=unicode_space)).alias("word"))
+    if not keep_empty:
+        words = words.where(F.col("word") != "")
     return words.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
 
 

@@ -15,7 +15,7 @@ def parse_counts5(lines: DataFrame, value: str = "value") -> DataFrame:
     non-integer counts drop."""
     f = T.whitespace_fields(value, 5)
     return (
-        lines.select(f.alias("f"))
+        T.evaluate_once(lines, f, "f")
         .where(F.size("f") == 5)
         .select(
             F.get("f", 0).alias("hour"),
@@ -34,7 +34,7 @@ def parse_counts4(lines: DataFrame, value: str = "value", file_name: str = "file
     a NULL hour and the row drops."""
     f = T.whitespace_fields(value)
     return (
-        lines.select(f.alias("f"), T.hour_from_file_name(file_name).alias("hour"))
+        T.evaluate_once(lines, f, "f", [T.hour_from_file_name(file_name).alias("hour")])
         .where((F.size("f") == 4) & F.col("hour").isNotNull())
         .select(
             "hour",

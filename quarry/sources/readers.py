@@ -14,14 +14,42 @@ DRIVER_TABLES = (
 ).split()
 
 
-def table(spark: SparkSession, sf_dir: str, name: str, columns: Sequence[str] | None = None) -> DataFrame:
+SPREAD_MIN_BYTES = 8 << 20
+
+
+def spread_if_few(df: DataFrame, min_bytes: int = SPREAD_MIN_BYTES) -> DataFrame:
+    """Round-robin a scan over the cluster when it is large but arrives in
+    fewer splits than the default parallelism (one big unsplittable file or
+    row group: gzip text, a single-row-group Parquet file).
+
+    On a large input this never fires -- a 100 TB scan has far more splits
+    than cores -- so it costs nothing there; on few large files it turns a
+    one-task scan into a parallel one at the price of one shuffle of the
+    projected columns.  Filters still push below the repartition.
+    """
+    spark = df.sparkSession
+    target = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() * 2 > target:
+        return df
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    if int(str(size)) < min_bytes:
+        return df
+    return df.repartition(target)
+
+
+def table(
+    spark: SparkSession, sf_dir: str, name: str, columns: Sequence[str] | None = None, spread: bool = True
+) -> DataFrame:
     """One of the driver's Parquet tables, optionally projected.
 
     Projection is declared up front so the Parquet ``ReadSchema`` holds only
-    the needed columns even before Catalyst prunes.
+    the needed columns even before Catalyst prunes.  ``spread`` applies
+    ``spread_if_few``.
     """
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return df.select(*columns) if columns else df
+    if columns:
+        df = df.select(*columns)
+    return spread_if_few(df) if spread else df
 
 
 def register_tables(spark: SparkSession, sf_dir: str, names: Sequence[str] = DRIVER_TABLES) -> None:
