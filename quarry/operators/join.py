@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -40,6 +41,9 @@ def join_small(
     ``merge``     -- force sort-merge (what auto-broadcast-off gives).
     """
     if strategy == "broadcast":
+        # The guard has to compute the small side; keep it so the join does
+        # not compute it (and rescan the big input behind it) a second time.
+        small = small.persist(StorageLevel.MEMORY_AND_DISK)
         small = F.broadcast(small) if fits_broadcast(small, max_broadcast_rows) else small.hint("merge")
     elif strategy == "merge":
         small = small.hint("merge")

@@ -61,3 +61,14 @@ def dedupe_on_key(df: DataFrame, key: Sequence[str]) -> DataFrame:
     """Rows differing in any key column all stay; identical keys collapse to
     the latest arrival (one shuffle on the full key)."""
     return df.dropDuplicates(list(key))
+
+
+def create_table_if_absent(spark, name: str, schema, location: str, fmt: str = "parquet"):
+    """``CREATE TABLE IF NOT EXISTS name (...) USING fmt LOCATION ...``.
+
+    The declared key is not enforced by the table; ``upsert`` and
+    ``dedupe_on_key`` enforce it when rows are written.
+    """
+    cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING {fmt} LOCATION '{location}'")
+    return spark.table(name)

@@ -75,3 +75,14 @@ def write_clustered(df: DataFrame, path: str, partition_key: Sequence[str], orde
     sorted by the clustering columns inside each file."""
     out = df.repartition(partitions, *partition_key) if partitions else df.repartition(*partition_key)
     out.sortWithinPartitions(*partition_key, *order).write.mode(mode).format(fmt).save(path)
+
+
+def iteration_writer(path: str, columns: Sequence[str], fmt: str = "csv"):
+    """A ``trace`` callback for iterative jobs: writes the state of pass ``i``
+    to ``path/iter-i`` (NULLs written as -1 in text formats)."""
+
+    def write(i: int, state: DataFrame) -> None:
+        out = state.select(*[F.coalesce(F.col(c).cast("string"), F.lit("-1")).alias(c) for c in columns])
+        out.write.mode("overwrite").format(fmt).save(f"{path}/iter-{i}")
+
+    return write

@@ -202,6 +202,28 @@ def q08_average_score(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("o_orderpriority", F.round("average_score", 6).alias("average_score"))
 
 
+@query(
+    "q08_average_score_json",
+    """
+    SELECT o_orderpriority AS subreddit, round(avg(o_totalprice), 6) AS average_score
+    FROM orders GROUP BY o_orderpriority
+    """,
+)
+def q08_average_score_json(spark: SparkSession, sf: str) -> DataFrame:
+    """Typed JSON lines (explicit schema; wrong-typed fields become NULL and
+    drop), as a JSON-lines scan with a declared schema does."""
+    from pyspark.sql import types as T
+
+    typed_schema = T.StructType([T.StructField("subreddit", T.StringType()), T.StructField("score", T.DoubleType())])
+    o = table(spark, sf, "orders", ["o_orderpriority", "o_totalprice"])
+    lines = o.select(
+        F.to_json(F.struct(F.col("o_orderpriority").alias("subreddit"), F.col("o_totalprice").alias("score"))).alias("value")
+    )
+    typed = lines.select(F.from_json("value", typed_schema).alias("j")).select("j.*")
+    out = A.average_per_key(typed, "subreddit", "score", alias="average_score")
+    return out.select("subreddit", F.round("average_score", 6).alias("average_score"))
+
+
 @query(
     "q09_etl_split",
     """

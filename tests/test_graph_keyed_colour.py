@@ -106,3 +106,31 @@ def test_colours(spark):
     for r in rows.values():
         want = colorsys.rgb_to_hsv(r.r / 255, r.g / 255, r.b / 255)
         assert (r.h, r.s, r.v) == pytest.approx(want)
+
+
+def test_iteration_trace_and_table(spark, edges, tmp_path):
+    from quarry.operators.keyed import create_table_if_absent
+    from quarry.operators.sinks import iteration_writer
+
+    out = str(tmp_path / "trace")
+    shortest_paths(edges, 1, 6, trace=iteration_writer(out, ["node", "dist", "prev"]))
+    it0 = spark.read.csv(out + "/iter-0").collect()
+    assert [tuple(r) for r in it0] == [("1", "0.0", "-1")]
+    assert spark.read.csv(out + "/iter-3").count() == 5
+    t = create_table_if_absent(spark, "kv_test", KEY_VALUE, str(tmp_path / "kv"))
+    assert t.count() == 0
+    t2 = create_table_if_absent(spark, "kv_test", KEY_VALUE, str(tmp_path / "kv"))
+    assert t2.columns == ["id", "data"]
+
+
+def test_write_split_and_lines(spark, tmp_path):
+    from quarry.operators.sinks import format_lines, with_split, write_split
+
+    df = spark.createDataFrame([("a", 1), ("b", -2), ("c", 0)], "k string, v int")
+    out = str(tmp_path / "split")
+    write_split(with_split(df, F.col("v") > 0, "positive", "negative"), out)
+    pos = spark.read.json(out + "/bucket=positive").collect()
+    neg = sorted(r.k for r in spark.read.json(out + "/bucket=negative").collect())
+    assert [r.k for r in pos] == ["a"] and neg == ["b", "c"]
+    lines = sorted(r.value for r in format_lines(df, "%s %d", ["k", "v"]).collect())
+    assert lines == ["a 1", "b -2", "c 0"]
