@@ -119,6 +119,8 @@ def exact_median(
     exact_limit: int = 200_000,
     buckets: int = 1024,
     max_passes: int = 64,
+    extra: dict[str, Column] | None = None,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """Exact, interpolated median per group (same value as Spark ``median``).
 
@@ -133,14 +135,31 @@ def exact_median(
 
     Interpolation: with ``n`` values and 0-based ranks ``floor((n-1)/2)`` and
     ``ceil((n-1)/2)`` the median is the mean of those two order statistics.
+
+    ``extra`` names further aggregates (over ``carry`` columns and the
+    value) computed in the same first pass and returned next to the median,
+    e.g. ``{"n": F.count("id"), "avg": F.avg("amount")}``.
     """
     keys = as_list(keys)
-    spark = df.sparkSession
-    base = df.select(*keys, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
-    stats = base.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")
+    extra = extra or {}
+    rows = df.select(*keys, F.col(value).cast("double").alias("_v"), *[c for c in carry if c not in keys], *([value] if extra and value not in keys and value not in carry else []))
+    stats = rows.groupBy(*keys).agg(
+        F.count("_v").alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"),
+        *[e.alias(name) for name, e in extra.items()],
     )
-    large = stats.where(F.col("_n") > exact_limit)
+    if extra:
+        stats = stats.persist(StorageLevel.MEMORY_AND_DISK)  # one row per group
+    base = rows.select(*keys, "_v").where(F.col("_v").isNotNull())
+    median = _median_from_stats(base, stats, keys, alias, exact_limit, buckets, max_passes)
+    if not extra:
+        return median
+    return null_safe_join(stats.select(*keys, *extra.keys()), median, keys, "left")
+
+
+def _median_from_stats(
+    base: DataFrame, stats: DataFrame, keys: list[str], alias: str, exact_limit: int, buckets: int, max_passes: int
+) -> DataFrame:
+    large = stats.where(F.col("_n") > exact_limit).select(*keys, "_n", "_lo", "_hi")
     small = null_safe_join(base, large.select(*keys), keys, "left_anti")
     small_part = small.groupBy(*keys).agg(F.median("_v").alias(alias))
     if large.isEmpty():

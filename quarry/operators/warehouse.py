@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.operators.aggregate import exact_median
-from quarry.operators.common import null_safe_join
 from quarry.operators.join import join_small
 
 
@@ -27,11 +26,15 @@ def spend_by_label(purchases: DataFrame, label: Column, amount: str = "amount",
     """``(region, number_of_purchases, average_of_purchase, median_of_purchase)``
     per computed label (a CASE without ELSE: unmatched rows form a NULL group)."""
     labelled = purchases.select(label.alias("region"), F.col(key), F.col(amount))
-    basic = labelled.groupBy("region").agg(
-        F.count(key).alias("number_of_purchases"), F.avg(amount).alias("average_of_purchase")
+    out = exact_median(
+        labelled,
+        ["region"],
+        amount,
+        alias="median_of_purchase",
+        extra={"number_of_purchases": F.count(key), "average_of_purchase": F.avg(amount)},
+        carry=[key],
     )
-    med = exact_median(labelled, ["region"], amount, alias="median_of_purchase")
-    return null_safe_join(basic, med, ["region"], "inner")
+    return out.select("region", "number_of_purchases", "average_of_purchase", "median_of_purchase")
 
 
 def category_spend(

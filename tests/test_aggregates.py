@@ -130,3 +130,16 @@ def test_numeric_tokens(spark):
     assert got == {1.0: (1, 1.0), 2.0: (2, 4.0), 2.5: (1, 2.5), -1.0: (1, -1.0)}
     tot = A.numeric_token_total(df).first()
     assert (tot.n_numbers, tot.total) == (5, 6.5)
+
+
+def test_exact_median_with_extra_aggregates(spark):
+    rows = [("x", i, float(i % 97)) for i in range(1500)] + [("y", 1, None), ("y", 2, 4.0), (None, 3, 2.0)]
+    df = spark.createDataFrame(rows, "g string, id int, v double")
+    want = {r.g: (r.n, r.a, r.m) for r in df.groupBy("g").agg(F.count("id").alias("n"), F.avg("v").alias("a"), F.median("v").alias("m")).collect()}
+    for limit in (50, 1_000_000):
+        out = A.exact_median(df, ["g"], "v", alias="m", exact_limit=limit, buckets=8,
+                             extra={"n": F.count("id"), "a": F.avg("v")}, carry=["id"])
+        got = {r.g: (r.n, r.a, r.m) for r in out.collect()}
+        assert got.keys() == want.keys()
+        for k, (n, a, m) in want.items():
+            assert got[k][0] == n and got[k][1] == pytest.approx(a) and got[k][2] == pytest.approx(m)
