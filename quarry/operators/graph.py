@@ -2,8 +2,8 @@
 path reconstruction by joins along the ``prev`` links.
 
 Nothing about the graph passes through the driver: the loop only asks
-whether the improved set is empty.  Each pass's state is written as Parquet
-to the shared checkpoint folder and read back: one job per table, the
+whether the improved set is empty.  Each pass's state is written once as
+Parquet to the shared checkpoint folder and read back: one job per pass, the
 lineage is cut (the plan does not grow with the pass count), and the state
 survives the loss of executors.
 """
@@ -30,8 +30,10 @@ def shortest_paths(
 
     * a pass joins the frontier (nodes improved in the previous pass) with
       the edges on ``src``, keeps per node ``min(struct(dist, prev))`` -- the
-      shortest candidate, the smallest predecessor on a tie -- and keeps the
-      candidates that are new or strictly shorter than the known distance;
+      shortest candidate, the smallest predecessor on a tie -- and merges it
+      into the state (full outer join on node), taking candidates that are
+      new or strictly shorter; improved rows are flagged as the next
+      frontier;
     * the loop stops early when a pass improves nothing;
     * ``prev`` is NULL for the source.
 
@@ -45,40 +47,41 @@ def shortest_paths(
         .repartition("src")
         .persist(StorageLevel.MEMORY_AND_DISK)
     )
-    state = T.StructType(PATH_STATE.fields + [T.StructField("hops", T.IntegerType(), False)])
-    dist = spark.createDataFrame([(int(source), 0.0, None, 0)], state)
-    frontier = dist
+    schema = T.StructType(
+        PATH_STATE.fields
+        + [T.StructField("hops", T.IntegerType(), False), T.StructField("changed", T.BooleanType(), False)]
+    )
+    state = spark.createDataFrame([(int(source), 0.0, None, 0, True)], schema)
     if trace is not None:
-        trace(0, dist)
+        trace(0, state.drop("changed"))
     try:
         for i in range(1, max_iters + 1):
+            frontier = state.where("changed").select("node", "dist", "hops")
             cand = frontier.join(e, frontier["node"] == e["src"]).select(
                 e["dst"].alias("node"),
                 (frontier["dist"] + e["weight"]).alias("dist"),
                 frontier["node"].alias("prev"),
                 (frontier["hops"] + 1).alias("hops"),
             )
-            best = cand.groupBy("node").agg(F.min(F.struct("dist", "prev", "hops")).alias("b")).select(
-                "node", "b.dist", "b.prev", "b.hops"
-            )
-            known = dist.select("node", F.col("dist").alias("_old"))
-            improved = (
-                best.join(known, "node", "left")
-                .where(F.col("_old").isNull() | (F.col("dist") < F.col("_old")))
-                .select("node", "dist", "prev", "hops")
+            best = cand.groupBy("node").agg(F.min(F.struct("dist", "prev", "hops")).alias("b"))
+            old = state.select("node", F.struct("dist", "prev", "hops").alias("o"))
+            merged = old.join(best, "node", "full_outer")
+            better = F.col("b").isNotNull() & (F.col("o").isNull() | (F.col("b.dist") < F.col("o.dist")))
+            pick = F.when(better, F.col("b")).otherwise(F.col("o"))
+            # one job per pass: the whole new state, with the improved rows flagged
+            state = materialize(
+                merged.select("node", pick.alias("s"), better.alias("changed")).select(
+                    "node", "s.dist", "s.prev", "s.hops", "changed"
+                ),
+                f"sssp-state-{i}",
             )
-            improved = materialize(improved, f"sssp-improved-{i}")
-            if improved.isEmpty():
+            if state.where("changed").isEmpty():
                 break
-            dist = materialize(
-                dist.join(improved.select("node"), "node", "left_anti").unionByName(improved), f"sssp-dist-{i}"
-            )
-            frontier = improved
             if trace is not None:
-                trace(i, dist)
+                trace(i, state.drop("changed"))
     finally:
         e.unpersist()
-    return dist
+    return state.drop("changed")
 
 
 def shortest_path(dist: DataFrame, target: int | DataFrame, max_steps: int = 6) -> DataFrame:

@@ -30,10 +30,10 @@ def daily_tmax(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def _fit_weather(spark: SparkSession, sf: str):
+def _fit_weather(spark: SparkSession, sf: str, baseline: bool = True):
     data = M.with_yesterday(daily_tmax(spark, sf)).checkpoint()
     train, valid = M.hash_split(data, ["station", "date"])
-    base = M.tmax_regressor(False).fit(train)
+    base = M.tmax_regressor(False).fit(train) if baseline else None
     yest = M.tmax_regressor(True).fit(train)
     return data, valid, base, yest
 
@@ -41,7 +41,7 @@ def _fit_weather(spark: SparkSession, sf: str):
 @query("q32_weather_predictions")
 def q32_weather_predictions(spark: SparkSession, sf: str) -> DataFrame:
     """Validation rows with the with-yesterday model's prediction."""
-    _, valid, _, yest = _fit_weather(spark, sf)
+    _, valid, _, yest = _fit_weather(spark, sf, baseline=False)
     return yest.transform(valid).select("station", "date", "tmax", "yesterday_tmax", "prediction")
 
 
@@ -62,7 +62,7 @@ def q32_weather_metrics(spark: SparkSession, sf: str) -> DataFrame:
 def q33_score_tomorrow(spark: SparkSession, sf: str) -> DataFrame:
     """Train, save the scoring model, load it back, and predict the day after
     each station's latest reading."""
-    data, _, _, yest = _fit_weather(spark, sf)
+    data, _, _, yest = _fit_weather(spark, sf, baseline=False)
     path = scratch_path(spark, "tmax_model")
     M.scoring_model(yest).write().overwrite().save(path)
     model = PipelineModel.load(path)
