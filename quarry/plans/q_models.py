@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from quarry.operators import ml as M
 from quarry.operators.keyed import latest_per_key
 from quarry.plans.registry import query
-from quarry.session import scratch_path
+from quarry.session import materialize, scratch_path
 from quarry.sources import table
 
 
@@ -31,7 +31,7 @@ def daily_tmax(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _fit_weather(spark: SparkSession, sf: str, baseline: bool = True):
-    data = M.with_yesterday(daily_tmax(spark, sf)).checkpoint()
+    data = materialize(M.with_yesterday(daily_tmax(spark, sf)), "tmax_days")
     train, valid = M.hash_split(data, ["station", "date"])
     base = M.tmax_regressor(False).fit(train) if baseline else None
     yest = M.tmax_regressor(True).fit(train)
@@ -90,7 +90,7 @@ def colour_words(spark: SparkSession, sf: str) -> DataFrame:
 @query("q34_colour_classifier")
 def q34_colour_classifier(spark: SparkSession, sf: str) -> DataFrame:
     """Accuracy of the RGB and the LAB perceptron on the validation split."""
-    words = colour_words(spark, sf).checkpoint()
+    words = materialize(colour_words(spark, sf), "colour_words")
     n_classes = words.select("word").distinct().count()  # one small number
     train, valid = M.hash_split(words, ["vec_id"])
     out = []
