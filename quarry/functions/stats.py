@@ -34,3 +34,22 @@ def regression(x: Column | str, y: Column | str) -> list[Column]:
         F.regr_slope(_c(y), _c(x)).alias("slope"),
         F.regr_intercept(_c(y), _c(x)).alias("intercept"),
     ]
+
+
+def round_significant(x: Column | str, digits: int = 12) -> Column:
+    """``x`` rounded to ``digits`` significant digits.
+
+    A floating sum over many rows depends on the order of addition in its
+    last bits; reports that must agree across runs and engines round it to
+    significant digits (decimal places do not help at large magnitudes).
+    """
+    col = _c(x)
+    scale = F.lit(digits - 1) - F.floor(F.log10(F.abs(col)))
+    # scale by an exact power of ten (10^k, k >= 0), never by a fraction
+    up = F.pow(F.lit(10.0), scale)
+    down = F.pow(F.lit(10.0), -scale)
+    return (
+        F.when(col == 0, F.lit(0.0))
+        .when(scale >= 0, F.round(col * up) / up)
+        .otherwise(F.round(col / down) * down)
+    )

@@ -37,11 +37,12 @@ def count_per_key(df: DataFrame, keys: str | Sequence[str], alias: str = "n") ->
 
 
 def numeric_token_sums(lines: DataFrame, text: str = "value") -> DataFrame:
-    """Per distinct number found in the text: ``(number, n, subtotal)``."""
+    """Per distinct number found in the text: ``(number, n, subtotal)`` with
+    ``subtotal = number * n`` (exact count, one multiplication: independent
+    of the order rows arrive in)."""
     nums = lines.select(F.explode(T.number_tokens(text)).alias("number")).where(F.col("number").isNotNull())
-    return nums.groupBy("number").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("number").alias("subtotal")
-    )
+    counted = nums.groupBy("number").agg(F.count(F.lit(1)).alias("n"))
+    return counted.select("number", "n", (F.col("number") * F.col("n")).alias("subtotal"))
 
 
 def numeric_token_total(lines: DataFrame, text: str = "value") -> DataFrame:

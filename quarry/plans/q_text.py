@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.functions import json as J
+from quarry.functions.stats import round_significant
 from quarry.operators import aggregate as A
 from quarry.operators import pagecounts as P
 from quarry.operators.join import relative_score
@@ -80,7 +81,7 @@ def q01_word_count(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     "q02_numeric_tokens",
     r"""
-    SELECT number, CAST(count(*) AS BIGINT) AS n, round(sum(number), 6) AS subtotal
+    SELECT number, CAST(count(*) AS BIGINT) AS n, number * count(*) AS subtotal
     FROM (SELECT TRY_CAST(unnest(regexp_extract_all(text, '[+-]?\d+(\.\d+)?', 0)) AS DOUBLE) AS number
           FROM documents)
     WHERE number IS NOT NULL
@@ -89,21 +90,27 @@ def q01_word_count(spark: SparkSession, sf: str) -> DataFrame:
 )
 def q02_numeric_tokens(spark: SparkSession, sf: str) -> DataFrame:
     out = A.numeric_token_sums(table(spark, sf, "documents", ["text"]), "text")
-    return out.select("number", "n", F.round("subtotal", 6).alias("subtotal"))
+    return out.select("number", "n", "subtotal")
 
 
 @query(
     "q02_numeric_total",
     r"""
-    SELECT CAST(count(*) AS BIGINT) AS n_numbers, round(sum(number), 6) AS total
-    FROM (SELECT TRY_CAST(unnest(regexp_extract_all(text, '[+-]?\d+(\.\d+)?', 0)) AS DOUBLE) AS number
-          FROM documents)
-    WHERE number IS NOT NULL
+    WITH s AS (SELECT CAST(count(*) AS BIGINT) AS n_numbers, sum(number) AS t
+               FROM (SELECT TRY_CAST(unnest(regexp_extract_all(text, '[+-]?\d+(\.\d+)?', 0)) AS DOUBLE) AS number
+                     FROM documents)
+               WHERE number IS NOT NULL)
+    SELECT n_numbers,
+           CASE WHEN t = 0 THEN 0.0
+                WHEN 11 - floor(log10(abs(t))) >= 0
+                  THEN round(t * pow(10.0, 11 - floor(log10(abs(t))))) / pow(10.0, 11 - floor(log10(abs(t))))
+                ELSE round(t / pow(10.0, floor(log10(abs(t))) - 11)) * pow(10.0, floor(log10(abs(t))) - 11) END AS total
+    FROM s
     """,
 )
 def q02_numeric_total(spark: SparkSession, sf: str) -> DataFrame:
     out = A.numeric_token_total(table(spark, sf, "documents", ["text"]), "text")
-    return out.select("n_numbers", F.round("total", 6).alias("total"))
+    return out.select("n_numbers", round_significant("total", 12).alias("total"))
 
 
 @query("q03_max_views_per_hour", f"SELECT hour, max(views) AS max_views FROM ({_V5}) GROUP BY hour")

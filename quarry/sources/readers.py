@@ -14,42 +14,45 @@ DRIVER_TABLES = (
 ).split()
 
 
-SPREAD_MIN_BYTES = 8 << 20
+SPREAD_MIN_BYTES = 1 << 20
+SPREAD_MAX_BYTES = 2 << 30
 
 
-def spread_if_few(df: DataFrame, min_bytes: int = SPREAD_MIN_BYTES) -> DataFrame:
-    """Round-robin a scan over the cluster when it is large but arrives in
-    fewer splits than the default parallelism (one big unsplittable file or
-    row group: gzip text, a single-row-group Parquet file).
+def needs_spread(df: DataFrame, min_bytes: int = SPREAD_MIN_BYTES, max_bytes: int = SPREAD_MAX_BYTES) -> bool:
+    """True when a scan comes from fewer files than half the default
+    parallelism and holds between ``min_bytes`` and ``max_bytes`` (judged on
+    the unprojected scan): such files may be unsplittable (gzip text) or hold
+    a single Parquet row group, so one task per file would do all the work.
 
-    On a large input this never fires -- a 100 TB scan has far more splits
-    than cores -- so it costs nothing there; on few large files it turns a
-    one-task scan into a parallel one at the price of one shuffle of the
-    projected columns.  Filters still push below the repartition.
+    A large input is many files and never qualifies -- a 100 TB table's scan
+    is already parallel -- and above ``max_bytes`` the extra shuffle would
+    cost more than it saves.
     """
-    spark = df.sparkSession
-    target = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() * 2 > target:
-        return df
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    if int(str(size)) < min_bytes:
-        return df
-    return df.repartition(target)
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if len(df.inputFiles()) * 2 > target:
+        return False
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return min_bytes <= size <= max_bytes
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin over the default parallelism (filters still push below)."""
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
 
 
 def table(
-    spark: SparkSession, sf_dir: str, name: str, columns: Sequence[str] | None = None, spread: bool = True
+    spark: SparkSession, sf_dir: str, name: str, columns: Sequence[str] | None = None, spread_few: bool = True
 ) -> DataFrame:
     """One of the driver's Parquet tables, optionally projected.
 
     Projection is declared up front so the Parquet ``ReadSchema`` holds only
-    the needed columns even before Catalyst prunes.  ``spread`` applies
-    ``spread_if_few``.
+    the needed columns even before Catalyst prunes.  With ``spread_few`` a
+    scan of few, sizeable files is spread after the projection (see
+    ``needs_spread``).
     """
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    if columns:
-        df = df.select(*columns)
-    return spread_if_few(df) if spread else df
+    raw = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = raw.select(*columns) if columns else raw
+    return spread(df) if spread_few and needs_spread(raw) else df
 
 
 def register_tables(spark: SparkSession, sf_dir: str, names: Sequence[str] = DRIVER_TABLES) -> None:
