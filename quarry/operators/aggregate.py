@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from quarry.functions import text as T
 from quarry.operators.common import as_list, null_safe_join
+from quarry.session import materialize
 
 
 # --- counting -----------------------------------------------------------------
@@ -166,8 +167,10 @@ def _median_from_stats(
     if large.isEmpty():
         return small_part
 
-    large = large.checkpoint()  # bounded: at most rows / exact_limit groups
-    big = null_safe_join(base, large.select(*keys), keys, "left_semi").persist(StorageLevel.MEMORY_AND_DISK)
+    large = materialize(large, "median-large")  # bounded: at most rows / exact_limit groups
+    # (keys, value) of the large groups, written once to the shared folder:
+    # the passes below read it instead of rescanning the source.
+    big = materialize(null_safe_join(base, large.select(*keys), keys, "left_semi"), "median-values")
     n = F.col("_n")
     state = large.select(
         *keys,
@@ -184,7 +187,7 @@ def _median_from_stats(
 
     finished: list[DataFrame] = []
     for _ in range(max_passes):
-        state = state.checkpoint()
+        state = materialize(state, "median-state")
         open_ = (F.col("_cnt") > exact_limit) & (F.col("_lo") < F.col("_hi"))
         finished.append(state.where(~open_))
         todo = state.where(open_)
