@@ -40,6 +40,20 @@ def hash_split(df: DataFrame, key: Sequence[str], train_fraction: float = 0.75,
     return df.where(bucket < cut), df.where(bucket >= cut)
 
 
+def for_training(df: DataFrame, rows_per_partition: int = 4096) -> DataFrame:
+    """Training input spread over enough partitions for its size.
+
+    Tree and gradient learners make many passes over their input, one task
+    per partition: a sizeable table written as one file would keep every pass
+    on one core, while splitting a tiny one only adds per-task overhead to
+    each pass.  Target: one partition per ``rows_per_partition`` rows, at
+    most the default parallelism; inputs that already have that many
+    partitions are left alone (always the case for large data).
+    """
+    target = min(df.sparkSession.sparkContext.defaultParallelism, max(1, df.count() // rows_per_partition))
+    return df if df.rdd.getNumPartitions() >= target else df.repartition(target)
+
+
 def with_yesterday(df: DataFrame) -> DataFrame:
     """Add ``yesterday_tmax`` on the whole table, *before* any split, so a
     validation day keeps its yesterday even if that day went to training."""

@@ -33,6 +33,7 @@ def daily_tmax(spark: SparkSession, sf: str) -> DataFrame:
 def _fit_weather(spark: SparkSession, sf: str, baseline: bool = True):
     data = materialize(M.with_yesterday(daily_tmax(spark, sf)), "tmax_days")
     train, valid = M.hash_split(data, ["station", "date"])
+    train = M.for_training(train)
     base = M.tmax_regressor(False).fit(train) if baseline else None
     yest = M.tmax_regressor(True).fit(train)
     return data, valid, base, yest
@@ -93,6 +94,7 @@ def q34_colour_classifier(spark: SparkSession, sf: str) -> DataFrame:
     words = materialize(colour_words(spark, sf), "colour_words")
     n_classes = words.select("word").distinct().count()  # one small number
     train, valid = M.hash_split(words, ["vec_id"])
+    train = M.for_training(train)
     out = []
     for space in ("rgb", "lab"):
         model = M.colour_classifier(n_classes, space).fit(train)
