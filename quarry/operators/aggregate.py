@@ -54,14 +54,27 @@ def numeric_token_total(lines: DataFrame, text: str = "value") -> DataFrame:
 
 # --- averages, extremes ----------------------------------------------------------
 def average_per_key(
-    df: DataFrame, key: str | Sequence[str], value: str, alias: str = "average_score", drop_null_key: bool = True
+    df: DataFrame,
+    key: str | Sequence[str],
+    value: str,
+    alias: str = "average_score",
+    drop_null_key: bool = True,
+    partitions: int | None = None,
 ) -> DataFrame:
-    """Average of ``value`` per key; rows with a NULL key (and NULL values) drop."""
+    """Average of ``value`` per key; rows with a NULL key (and NULL values) drop.
+
+    ``partitions`` hash-partitions the rows by key first; the aggregate then
+    reuses that exchange (no second shuffle).  Usually better left to AQE,
+    since it gives up the map-side partial aggregate.
+    """
     keys = as_list(key)
     if drop_null_key:
         for k in keys:
             df = df.where(F.col(k).isNotNull())
-    return df.where(F.col(value).isNotNull()).groupBy(*keys).agg(F.avg(value).alias(alias))
+    df = df.where(F.col(value).isNotNull())
+    if partitions:
+        df = df.repartition(partitions, *keys)
+    return df.groupBy(*keys).agg(F.avg(value).alias(alias))
 
 
 def max_per_key(df: DataFrame, key: str | Sequence[str], value: str, alias: str) -> DataFrame:

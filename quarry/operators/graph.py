@@ -89,7 +89,8 @@ def shortest_path(dist: DataFrame, target: int | DataFrame, max_steps: int = 6)
     (``step`` 0 = the source).  Empty when the target was not reached.
 
     The walk follows ``prev`` one hop per join; at most ``max_steps + 1``
-    one-row joins composed into a single plan -- no driver loop, no collect.
+    one-row joins composed into one plan (the one-row frontier is written
+    out every 8 steps to keep the plan linear) -- no collect.
     ``target`` is a node id or a one-column DataFrame holding it.
     """
     spark = dist.sparkSession
@@ -100,8 +101,12 @@ def shortest_path(dist: DataFrame, target: int | DataFrame, max_steps: int = 6)
     d = dist.select("node", "prev", "hops")
     cur = d.join(F.broadcast(tgt), "node")
     hops = [cur]
-    for _ in range(max_steps):
+    for k in range(1, max_steps + 1):
         cur = d.join(F.broadcast(cur.select(F.col("prev").alias("node")).where(F.col("node").isNotNull())), "node")
+        if k % 8 == 0:
+            # every step's plan contains the previous ones; writing the
+            # one-row frontier now and then keeps the plan size linear
+            cur = materialize(cur, "sssp-walk")
         hops.append(cur)
     walk = hops[0]
     for h in hops[1:]:

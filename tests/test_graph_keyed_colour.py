@@ -134,3 +134,11 @@ def test_write_split_and_lines(spark, tmp_path):
     assert [r.k for r in pos] == ["a"] and neg == ["b", "c"]
     lines = sorted(r.value for r in format_lines(df, "%s %d", ["k", "v"]).collect())
     assert lines == ["a 1", "b -2", "c 0"]
+
+
+def test_long_path_walk(spark):
+    chain = [f"{i}: {i + 1}" for i in range(20)]
+    e = parse_adjacency(lines_df(spark, chain))
+    d = shortest_paths(e, 0, max_iters=25)
+    path = sorted(tuple(r) for r in shortest_path(d, 20, max_steps=25).collect())
+    assert path == [(i, i) for i in range(21)]
