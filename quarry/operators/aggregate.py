@@ -97,6 +97,7 @@ def argmax_ties(
     by: str,
     strategy: str = "auto",
     max_broadcast_rows: int = 1_000_000,
+    method: str = "join",
 ) -> DataFrame:
     """All rows that reach the per-key maximum of ``by`` (ties kept).
 
@@ -110,12 +111,19 @@ def argmax_ties(
       shuffle join above ``max_broadcast_rows``).
     * ``merge``: force a sort-merge join.
 
-    A window ``max() over (partition by key)`` is avoided on purpose: it
-    sorts every row of a key inside one task.
+    ``method='window'`` uses ``rank() over (partition by key order by by
+    desc) = 1`` instead: one shuffle and no join, but every row of a key is
+    sorted inside one task -- only for many small keys, never when one key
+    may hold a large share of the rows (the default join form is safe there).
     """
     from quarry.operators.join import join_small
 
     keys = as_list(key)
+    if method == "window":
+        w = Window.partitionBy(*keys).orderBy(F.col(by).desc())
+        return df.withColumn("_rank", F.rank().over(w)).where(F.col("_rank") == 1).drop("_rank")
+    if method != "join":
+        raise ValueError(f"unknown method {method!r}")
     best = df.groupBy(*keys).agg(F.max(by).alias(by))
     return join_small(df, best, keys + [by], how="inner", strategy=strategy, max_broadcast_rows=max_broadcast_rows)
 

@@ -64,8 +64,9 @@ def top_page_per_hour(counts: DataFrame) -> DataFrame:
     return argmax_one(counts, "hour", "views", "title")
 
 
-def top_pages_per_hour(counts: DataFrame, strategy: str = "auto") -> DataFrame:
-    """All pages at the hour's maximum: ``(hour, title, views)``, ties kept."""
-    return argmax_ties(counts.select("hour", "title", "views"), "hour", "views", strategy=strategy).select(
+def top_pages_per_hour(counts: DataFrame, strategy: str = "auto", method: str = "join") -> DataFrame:
+    """All pages at the hour's maximum: ``(hour, title, views)``, ties kept.
+    Hours are few and large, so the default is aggregate + join-back."""
+    return argmax_ties(counts.select("hour", "title", "views"), "hour", "views", strategy=strategy, method=method).select(
         "hour", "title", "views"
     )

@@ -58,3 +58,18 @@ def test_json_with_schema_and_table_reader(spark, tmp_path):
     assert t.columns == ["subreddit"] and t.count() == 4
     assert "ReadSchema: struct<subreddit:string>" in t._jdf.queryExecution().executedPlan().toString()
     assert os.path.isdir(out)
+
+
+def test_clustered_layout(spark, tmp_path):
+    from quarry.operators.sinks import write_clustered
+
+    df = spark.createDataFrame([("h1", 3, "c"), ("h2", 1, "a"), ("h1", 1, "a"), ("h1", 2, "b")], "host string, t int, r string")
+    out = str(tmp_path / "clustered")
+    write_clustered(df, out, ["host"], ["t"], partitions=2)
+    back = spark.read.parquet(out)
+    per_file = back.withColumn("f", F.input_file_name()).groupBy("f").agg(F.collect_list("host").alias("hosts"),
+                                                                         F.collect_list("t").alias("ts")).collect()
+    for row in per_file:
+        pairs = list(zip(row.hosts, row.ts))
+        assert pairs == sorted(pairs)
+    assert back.count() == 4
