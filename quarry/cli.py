@@ -218,10 +218,10 @@ def main(argv: list[str] | None = None) -> None:
         (["--max-iters"], {"type": int, "default": 6}), (["--trace"], {"action": "store_true"}))
     cmd("weather_train", weather_train, (["inputs"], {}), (["model_dir"], {}))
     cmd("weather_test", weather_test, (["model_dir"], {}), (["inputs"], {}))
-    cmd("weather_tomorrow", weather_tomorrow, (["model_dir"], {}), (["--station"], {"default": "sfu_campus"}),
-        (["--date"], {"default": "2025-11-21"}), (["--latitude"], {"type": float, "default": 49.2771}),
-        (["--longitude"], {"type": float, "default": -122.9146}), (["--elevation"], {"type": float, "default": 330.0}),
-        (["--tmax"], {"type": float, "default": 12.0}))
+    cmd("weather_tomorrow", weather_tomorrow, (["model_dir"], {}), (["--station"], {"required": True}),
+        (["--date"], {"required": True}), (["--latitude"], {"type": float, "required": True}),
+        (["--longitude"], {"type": float, "required": True}), (["--elevation"], {"type": float, "required": True}),
+        (["--tmax"], {"type": float, "required": True}))
     cmd("colour_predict", colour_predict, (["inputs"], {}))
     a = p.parse_args(argv)
     a.fn(_session(f"quarry-{a.program}"), a)

@@ -56,7 +56,7 @@ def q15_log_load(spark: SparkSession, sf: str) -> DataFrame:
     cluster's parallelism (a hash on host would put a hot host on one
     writer), and read the table back."""
     rows = log_rows(page_log_lines(spark, sf), position="page_id")
-    path = scratch_path(spark, "nasalogs")
+    path = scratch_path(spark, "access_log_table")
     append_table(rows, "parquet", {"path": path}, spread=spark.sparkContext.defaultParallelism)
     return read_table(spark, "parquet", {"path": path})
 

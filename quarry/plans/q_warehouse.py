@@ -42,7 +42,7 @@ def purchases(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def area_customers(spark: SparkSession, sf: str) -> DataFrame:
-    """The ``vancouver_custs`` view: ``(custid, in_area)``."""
+    """The area-flag view: ``(custid, in_area)``."""
     prefixes = table(spark, sf, "nation", ["n_nationkey"]).select(
         F.lpad(F.col("n_nationkey").cast("string"), 2, "0").alias("pcprefix")
     )

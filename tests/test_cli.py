@@ -72,6 +72,7 @@ def test_weather_programs(spark, tmp_path, capsys):
     model = str(tmp_path / "model")
     main(["weather_train", csv, model])
     main(["weather_test", model, csv])
-    main(["weather_tomorrow", model, "--station", "3", "--date", "2024-01-20"])
+    main(["weather_tomorrow", model, "--station", "3", "--date", "2024-01-20", "--latitude", "0.3",
+          "--longitude", "-0.43", "--elevation", "9", "--tmax", "120"])
     out = capsys.readouterr().out
     assert "Validation rmse" in out and "r2 = " in out and "Predicted tmax tomorrow:" in out

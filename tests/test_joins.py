@@ -43,22 +43,22 @@ def test_yesterday_needs_adjacent_day(spark):
 
 def test_sensors(spark):
     readings = rows(spark, [
-        ("2025-10-01", "Surrey", 17.5), ("2025-10-01", "Burnaby", 18.9),
-        ("2025-10-02", "Surrey", 16.0), ("2025-10-02", "Burnaby", 17.2),
-        ("2025-10-04", "Surrey", 10.0), ("2025-10-05", "Surrey", 30.0),
+        ("2025-10-01", "North", 17.5), ("2025-10-01", "South", 18.9),
+        ("2025-10-02", "North", 16.0), ("2025-10-02", "South", 17.2),
+        ("2025-10-04", "North", 10.0), ("2025-10-05", "North", 30.0),
     ], READINGS)
     from quarry.operators.join import two_value_pivot
 
-    pair = sorted(tuple(r) for r in two_value_pivot(readings, "timestamp", "sensor", "temp", "Surrey", "Burnaby", "surrey", "burnaby").collect())
+    pair = sorted(tuple(r) for r in two_value_pivot(readings, "timestamp", "sensor", "temp", "North", "South", "north", "south").collect())
     assert pair == [("2025-10-01", 17.5, 18.9), ("2025-10-02", 16.0, 17.2)]
     feats = TS.sensor_features(readings, rows(spark, [], HOLIDAYS))
     f = {(r.timestamp, r.sensor): r for r in feats.collect()}
-    assert f[("2025-10-01", "Surrey")].temp_F == 63.5
-    assert f[("2025-10-04", "Surrey")].is_weekend and f[("2025-10-05", "Surrey")].is_weekend
-    assert not f[("2025-10-01", "Surrey")].is_weekend
+    assert f[("2025-10-01", "North")].temp_F == 63.5
+    assert f[("2025-10-04", "North")].is_weekend and f[("2025-10-05", "North")].is_weekend
+    assert not f[("2025-10-01", "North")].is_weekend
     hol = rows(spark, [("2025-10-05", "x")], HOLIDAYS)
     weekly = sorted((r.sensor, r.week, round(r.max_avg_temp, 9)) for r in TS.weekly_max(TS.sensor_features(readings, hol)).collect())
-    assert weekly == [("Burnaby", 40, 18.05), ("Surrey", 40, 14.5)]
+    assert weekly == [("North", 40, 14.5), ("South", 40, 18.05)]
 
 
 def _plan(df):
