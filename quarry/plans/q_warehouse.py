@@ -18,6 +18,8 @@ from quarry.sources import schemas as S  # noqa: F401
 # method = market segment; postal prefix = characters 17-18 of c_name;
 # area prefixes = two-digit nation keys.
 HOME_PROVINCE = "AMERICA"
+# --- fixed values: region labels of the spend report ---
+IN_AREA, HOME_NOT_AREA, OUTSIDE_HOME = "From_Van", "From_BC_non_Van", "From_out_BC"
 
 
 def customers(spark: SparkSession, sf: str) -> DataFrame:
@@ -84,9 +86,9 @@ def q23_payment_average(spark: SparkSession, sf: str) -> DataFrame:
     WITH {_AREA_SQL},
     cust AS (SELECT c.c_custkey AS custid, r.r_name AS province FROM customer c
              JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey)
-    SELECT CASE WHEN vc.in_area = 1 THEN 'From_Van'
-                WHEN vc.in_area = 0 AND cust.province = 'AMERICA' THEN 'From_BC_non_Van'
-                WHEN cust.province <> 'AMERICA' THEN 'From_out_BC' END AS region,
+    SELECT CASE WHEN vc.in_area = 1 THEN '{IN_AREA}'
+                WHEN vc.in_area = 0 AND cust.province = '{HOME_PROVINCE}' THEN '{HOME_NOT_AREA}'
+                WHEN cust.province <> '{HOME_PROVINCE}' THEN '{OUTSIDE_HOME}' END AS region,
            CAST(count(o.o_custkey) AS BIGINT) AS number_of_purchases,
            round(avg(o.o_totalprice), 4) AS average_of_purchase,
            round(median(o.o_totalprice), 4) AS median_of_purchase
@@ -97,9 +99,9 @@ def q23_payment_average(spark: SparkSession, sf: str) -> DataFrame:
 def q24_spend_by_region(spark: SparkSession, sf: str) -> DataFrame:
     cust = customers(spark, sf).select("custid", "province").join(area_customers(spark, sf), "custid")
     label = (
-        F.when(F.col("in_area") == 1, "From_Van")
-        .when((F.col("in_area") == 0) & (F.col("province") == HOME_PROVINCE), "From_BC_non_Van")
-        .when(F.col("province") != HOME_PROVINCE, "From_out_BC")
+        F.when(F.col("in_area") == 1, IN_AREA)
+        .when((F.col("in_area") == 0) & (F.col("province") == HOME_PROVINCE), HOME_NOT_AREA)
+        .when(F.col("province") != HOME_PROVINCE, OUTSIDE_HOME)
     )
     out = W.spend_by_label(purchases(spark, sf).join(cust, "custid"), label)
     return out.select(
