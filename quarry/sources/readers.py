@@ -29,7 +29,9 @@ def needs_spread(df: DataFrame, min_bytes: int = SPREAD_MIN_BYTES, max_bytes: in
     cost more than it saves.
     """
     target = df.sparkSession.sparkContext.defaultParallelism
-    if len(df.inputFiles()) * 2 > target:
+    # count the files on the JVM side: a huge table's file list never
+    # crosses into Python
+    if len(df._jdf.inputFiles()) * 2 > target:
         return False
     size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     return min_bytes <= size <= max_bytes
