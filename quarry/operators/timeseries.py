@@ -50,6 +50,25 @@ def temperature_range_sql(spark: SparkSession, obs: DataFrame, view: str = "weat
     )
 
 
+def paired_averages(
+    df: DataFrame, key: str, label: str, value: str, first: str, second: str,
+    first_alias: str | None = None, second_alias: str | None = None,
+) -> DataFrame:
+    """Per key, the average of ``value`` for ``label == first`` next to the
+    average for ``label == second``; keys lacking either side (or whose
+    values on a side are all NULL) drop.
+
+    Equal to averaging per (key, label) and joining the two halves on the
+    key, but done as one aggregate with conditional averages: one scan and
+    one shuffle, with partial aggregation, instead of two scans, two
+    aggregates and a join.
+    """
+    a = F.avg(F.when(F.col(label) == first, F.col(value))).alias(first_alias or first)
+    b = F.avg(F.when(F.col(label) == second, F.col(value))).alias(second_alias or second)
+    out = df.where(F.col(label).isin(first, second)).groupBy(key).agg(a, b)
+    return out.where(F.col(first_alias or first).isNotNull() & F.col(second_alias or second).isNotNull())
+
+
 def sensor_features(readings: DataFrame, holidays: DataFrame) -> DataFrame:
     """``(timestamp, sensor, temp, temp_F, is_weekend, is_holiday)``.
 

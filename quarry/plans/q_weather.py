@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.operators import timeseries as TS
-from quarry.operators.join import two_value_pivot, with_previous_day
+from quarry.operators.join import with_previous_day
 from quarry.plans.registry import query
 from quarry.sources import rows, table
 from quarry.sources.schemas import HOLIDAYS
@@ -74,14 +74,6 @@ def q14_temp_range_sql(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("date", "station", F.round("range", 6).alias("range"))
 
 
-def daily_readings(spark: SparkSession, sf: str) -> DataFrame:
-    """`events` as sensor readings: one average per (day, event type)."""
-    e = table(spark, sf, "events", ["ts", "event_type", "value"])
-    return e.groupBy(F.to_date("ts").cast("string").alias("timestamp"), F.col("event_type").alias("sensor")).agg(
-        F.avg("value").alias("temp")
-    )
-
-
 @query(
     "q29_two_sensors",
     """
@@ -92,7 +84,8 @@ def daily_readings(spark: SparkSession, sf: str) -> DataFrame:
     """,
 )
 def q29_two_sensors(spark: SparkSession, sf: str) -> DataFrame:
-    out = two_value_pivot(daily_readings(spark, sf), "timestamp", "sensor", "temp", "click", "view")
+    """Daily click and view averages side by side (one aggregate)."""
+    out = TS.paired_averages(event_readings(spark, sf), "timestamp", "sensor", "temp", "click", "view")
     return out.select("timestamp", F.round("click", 6).alias("click"), F.round("view", 6).alias("view"))
 
 

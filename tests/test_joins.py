@@ -87,3 +87,16 @@ def test_broadcast_guard_falls_back(spark):
     out.count()
     assert "SortMergeJoin" in out._jdf.queryExecution().executedPlan().toString()
     assert out.count() == 50
+
+
+def test_paired_averages_equals_join_of_halves(spark):
+    from pyspark.sql import functions as F
+
+    from quarry.operators.join import two_value_pivot
+
+    rows_ = [("d1", "a", 1.0), ("d1", "a", 3.0), ("d1", "b", 5.0), ("d2", "a", 2.0), ("d3", "b", 7.0), ("d3", "c", 1.0)]
+    df = spark.createDataFrame(rows_, "k string, s string, v double")
+    daily = df.groupBy("k", "s").agg(F.avg("v").alias("v"))
+    joined = sorted(tuple(r) for r in two_value_pivot(daily, "k", "s", "v", "a", "b").collect())
+    paired = sorted(tuple(r) for r in TS.paired_averages(df, "k", "s", "v", "a", "b").collect())
+    assert joined == paired == [("d1", 2.0, 5.0)]
