@@ -10,12 +10,11 @@ survives the loss of executors.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarry.session import ensure_checkpoint_dir, materialize
+from quarry.session import bucketed_table, ensure_checkpoint_dir, materialize
 from quarry.sources.schemas import PATH_STATE
 
 
@@ -42,10 +41,13 @@ def shortest_paths(
     """
     spark: SparkSession = edges.sparkSession
     ensure_checkpoint_dir(spark)
-    e = (
-        edges.select(F.col("src").cast("bigint"), F.col("dst").cast("bigint"), F.col("weight").cast("double"))
-        .repartition("src")
-        .persist(StorageLevel.MEMORY_AND_DISK)
+    # edges written once, bucketed by src: every pass joins the frontier
+    # against them without shuffling the edges, and they survive the loss
+    # of executors
+    e = bucketed_table(
+        edges.select(F.col("src").cast("bigint"), F.col("dst").cast("bigint"), F.col("weight").cast("double")),
+        "sssp-edges",
+        "src",
     )
     schema = T.StructType(
         PATH_STATE.fields
@@ -54,33 +56,30 @@ def shortest_paths(
     state = spark.createDataFrame([(int(source), 0.0, None, 0, True)], schema)
     if trace is not None:
         trace(0, state.drop("changed"))
-    try:
-        for i in range(1, max_iters + 1):
-            frontier = state.where("changed").select("node", "dist", "hops")
-            cand = frontier.join(e, frontier["node"] == e["src"]).select(
-                e["dst"].alias("node"),
-                (frontier["dist"] + e["weight"]).alias("dist"),
-                frontier["node"].alias("prev"),
-                (frontier["hops"] + 1).alias("hops"),
-            )
-            best = cand.groupBy("node").agg(F.min(F.struct("dist", "prev", "hops")).alias("b"))
-            old = state.select("node", F.struct("dist", "prev", "hops").alias("o"))
-            merged = old.join(best, "node", "full_outer")
-            better = F.col("b").isNotNull() & (F.col("o").isNull() | (F.col("b.dist") < F.col("o.dist")))
-            pick = F.when(better, F.col("b")).otherwise(F.col("o"))
-            # one job per pass: the whole new state, with the improved rows flagged
-            state = materialize(
-                merged.select("node", pick.alias("s"), better.alias("changed")).select(
-                    "node", "s.dist", "s.prev", "s.hops", "changed"
-                ),
-                f"sssp-state-{i}",
-            )
-            if state.where("changed").isEmpty():
-                break
-            if trace is not None:
-                trace(i, state.drop("changed"))
-    finally:
-        e.unpersist()
+    for i in range(1, max_iters + 1):
+        frontier = state.where("changed").select("node", "dist", "hops")
+        cand = frontier.join(e, frontier["node"] == e["src"]).select(
+            e["dst"].alias("node"),
+            (frontier["dist"] + e["weight"]).alias("dist"),
+            frontier["node"].alias("prev"),
+            (frontier["hops"] + 1).alias("hops"),
+        )
+        best = cand.groupBy("node").agg(F.min(F.struct("dist", "prev", "hops")).alias("b"))
+        old = state.select("node", F.struct("dist", "prev", "hops").alias("o"))
+        merged = old.join(best, "node", "full_outer")
+        better = F.col("b").isNotNull() & (F.col("o").isNull() | (F.col("b.dist") < F.col("o.dist")))
+        pick = F.when(better, F.col("b")).otherwise(F.col("o"))
+        # one job per pass: the whole new state, with the improved rows flagged
+        state = materialize(
+            merged.select("node", pick.alias("s"), better.alias("changed")).select(
+                "node", "s.dist", "s.prev", "s.hops", "changed"
+            ),
+            f"sssp-state-{i}",
+        )
+        if state.where("changed").isEmpty():
+            break
+        if trace is not None:
+            trace(i, state.drop("changed"))
     return state.drop("changed")
 
 

@@ -84,3 +84,15 @@ def materialize(df, name: str):
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def bucketed_table(df, name: str, key: str, buckets: int | None = None):
+    """Write ``df`` once as a table bucketed (and sorted) by ``key`` in the
+    shared folder and return it.  Later joins on ``key`` read the buckets
+    already partitioned: the table side is never shuffled again."""
+    spark = df.sparkSession
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = scratch_path(spark, name)
+    table = f"{name.replace('-', '_')}_{uuid.uuid4().hex[:12]}"
+    df.write.bucketBy(n, key).sortBy(key).option("path", path).mode("overwrite").saveAsTable(table)
+    return spark.table(table)
