@@ -15,12 +15,9 @@ DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
 
 
 def fits_broadcast(small: DataFrame, max_rows: int) -> bool:
-    """Row-count guard for an explicit broadcast.
-
-    ``limit(max_rows + 1).count()`` stops counting once the bound is passed,
-    so the check is cheap for a side that turns out to be large.
-    """
-    return small.limit(max_rows + 1).count() <= max_rows
+    """Row-count guard for an explicit broadcast.  ``join_small`` persists the
+    side before counting, so the join reuses the rows counted here."""
+    return small.count() <= max_rows
 
 
 def join_small(

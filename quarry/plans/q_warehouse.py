@@ -211,7 +211,7 @@ def q35_upsert(spark: SparkSession, sf: str) -> DataFrame:
     e = table(spark, sf, "events", ["user_id", "event_type", "value", "ts", "event_id"])
     first = _event_changes(e.where(F.col("ts") < F.lit(SPLIT_TS).cast("timestamp_ntz")))
     second = _event_changes(e.where(F.col("ts") >= F.lit(SPLIT_TS).cast("timestamp_ntz")))
-    empty = first.select("user_id", "event_type", "value").limit(0)
+    empty = spark.createDataFrame([], first.select("user_id", "event_type", "value").schema)
     base = upsert(empty, first, "user_id", ["event_type", "value"])
     return upsert(base, second, "user_id", ["event_type", "value"])
 
