@@ -183,10 +183,10 @@ def _median_from_stats(
     base: DataFrame, stats: DataFrame, keys: list[str], alias: str, exact_limit: int, buckets: int, max_passes: int
 ) -> DataFrame:
     large = stats.where(F.col("_n") > exact_limit).select(*keys, "_n", "_lo", "_hi")
+    if large.isEmpty():  # every group is small: one aggregate, no join
+        return base.groupBy(*keys).agg(F.median("_v").alias(alias))
     small = null_safe_join(base, large.select(*keys), keys, "left_anti")
     small_part = small.groupBy(*keys).agg(F.median("_v").alias(alias))
-    if large.isEmpty():
-        return small_part
 
     large = materialize(large, "median-large")  # bounded: at most rows / exact_limit groups
     # (keys, value) of the large groups, written once to the shared folder:
