@@ -7,11 +7,10 @@ from pyspark.sql import functions as F
 
 from quarry.functions.json import path_text
 from quarry.operators import warehouse as W
-from quarry.operators.keyed import change_rows, latest_per_key, upsert
+from quarry.operators.keyed import latest_per_key, upsert
 from quarry.plans.registry import query
 from quarry.session import scratch_path
 from quarry.sources import read_csv, read_json, read_lines, table
-from quarry.sources import schemas as S  # noqa: F401
 
 # Roles on the driver tables: purchases = orders (custid = o_custkey,
 # amount = o_totalprice); province = the customer's region name; payment
