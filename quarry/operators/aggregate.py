@@ -98,6 +98,7 @@ def argmax_ties(
     strategy: str = "auto",
     max_broadcast_rows: int = 1_000_000,
     method: str = "join",
+    materialize_input: bool = False,
 ) -> DataFrame:
     """All rows that reach the per-key maximum of ``by`` (ties kept).
 
@@ -115,10 +116,17 @@ def argmax_ties(
     desc) = 1`` instead: one shuffle and no join, but every row of a key is
     sorted inside one task -- only for many small keys, never when one key
     may hold a large share of the rows (the default join form is safe there).
+
+    The join form reads its input twice (aggregate, then probe).  With
+    ``materialize_input`` the input is written once to the shared folder and
+    both sides read that copy -- worth it when the input is expensive to
+    produce (parsed raw text) and narrow after projection.
     """
     from quarry.operators.join import join_small
 
     keys = as_list(key)
+    if materialize_input:
+        df = materialize(df, "argmax-input")
     if method == "window":
         w = Window.partitionBy(*keys).orderBy(F.col(by).desc())
         return df.withColumn("_rank", F.rank().over(w)).where(F.col("_rank") == 1).drop("_rank")

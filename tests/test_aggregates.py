@@ -82,6 +82,7 @@ def test_argmax_ties_and_one(spark):
         ties = sorted(tuple(r) for r in P.top_pages_per_hour(c, strategy).collect())
         assert ties == [("h1", "A", 10), ("h1", "B", 10), ("h2", "E", 1)]
     assert sorted(tuple(r) for r in P.top_pages_per_hour(c, method="window").collect()) == ties
+    assert sorted(tuple(r) for r in P.top_pages_per_hour(c, materialize_input=True).collect()) == ties
     one = sorted(tuple(r) for r in P.top_page_per_hour(c).collect())
     assert one == [("h1", 10, "B"), ("h2", 1, "E")]
 
