@@ -76,3 +76,57 @@ def test_weather_programs(spark, tmp_path, capsys):
           "--longitude", "-0.43", "--elevation", "9", "--tmax", "120"])
     out = capsys.readouterr().out
     assert "Validation rmse" in out and "r2 = " in out and "Predicted tmax tomorrow:" in out
+
+
+def test_pagecount_programs(spark, tmp_path, capsys):
+    d = tmp_path / "pc"
+    d.mkdir()
+    (d / "pagecounts-20160801-120000").write_text("en A 10 1\nen B 10 1\nen Special:X 99 1\n")
+    (d / "pagecounts-20160801-130000").write_text("en D 5 1\nen Main_Page 70 1\n")
+    main(["wikipedia_popular_df", str(d), str(tmp_path / "df"), "--join", "broadcast"])
+    rows = [json.loads(x) for x in _read_parts(tmp_path / "df")]
+    assert [(r["hour"], r["title"], r["views"]) for r in rows] == [
+        ("20160801-12", "A", 10), ("20160801-12", "B", 10), ("20160801-13", "D", 5)
+    ]
+    five = tmp_path / "five.txt"
+    five.write_text("20160801-120000 en A 10 1\n20160801-120000 en B 12 1\n20160801-120000 en Special:Y 99 1\n")
+    main(["wikipedia_popular", str(five), str(tmp_path / "wp"), "--with-title"])
+    assert _read_parts(tmp_path / "wp") == ["20160801-120000\t(12, 'B')"]
+    nums = tmp_path / "nums.txt"
+    nums.write_text("1 2.5 x -3\n4\n")
+    main(["numbersum", str(nums)])
+    assert capsys.readouterr().out.strip() == "4.5"
+
+
+def test_typed_json_and_weather_etl_and_colours(spark, tmp_path, capsys):
+    src = tmp_path / "s.json"
+    src.write_text('{"subreddit": "a", "score": 2}\n{"subreddit": "a", "score": 4}\n{"subreddit": "b", "score": "x"}\n')
+    main(["reddit_average_df", str(src), str(tmp_path / "avg")])
+    assert "a,3.0" in _read_parts(tmp_path / "avg")
+    w = tmp_path / "w.csv"
+    w.write_text("CA1,20240101,TMAX,215,,,,\nUS1,20240101,TMAX,100,,,,\n")
+    main(["weather_etl", str(w), str(tmp_path / "etl")])
+    got = [json.loads(x) for x in _read_parts_gz(tmp_path / "etl")]
+    assert got == [{"station": "CA1", "date": "20240101", "tmax": 21.5}]
+    colours = tmp_path / "colours.csv"
+    import random
+
+    rnd = random.Random(1)
+    lines = []
+    for word, (r, g, b) in {"red": (230, 20, 20), "green": (20, 200, 20), "blue": (20, 20, 230)}.items():
+        for _ in range(40):
+            lines.append(f"{r + rnd.randint(-20, 20)},{g + rnd.randint(-20, 20)},{b + rnd.randint(-20, 20)},{word},high")
+    colours.write_text("\n".join(lines) + "\n")
+    main(["colour_predict", str(colours)])
+    out = capsys.readouterr().out
+    assert "Validation score for RGB model" in out and "Validation score for LAB model" in out
+
+
+def _read_parts_gz(path):
+    import gzip
+
+    out = []
+    for f in sorted(glob.glob(f"{path}/part-*.gz")):
+        with gzip.open(f, "rt") as h:
+            out += [ln.rstrip("\n") for ln in h if ln.strip()]
+    return out
