@@ -86,13 +86,25 @@ def materialize(df, name: str):
     return spark.read.parquet(path)
 
 
-def bucketed_table(df, name: str, key: str, buckets: int | None = None):
-    """Write ``df`` once as a table bucketed (and sorted) by ``key`` in the
-    shared folder and return it.  Later joins on ``key`` read the buckets
-    already partitioned: the table side is never shuffled again."""
+def bucketed_table(df, name: str, key: str, bucket_bytes: int = 64 << 20):
+    """Write ``df`` as a table bucketed (and sorted) by ``key`` in the shared
+    folder and return it.  Later joins on ``key`` read the buckets already
+    partitioned: the table side is never shuffled again.
+
+    The bucket count follows the measured size (about ``bucket_bytes`` of
+    Parquet per bucket, at most ``spark.sql.shuffle.partitions``): the data
+    is first written plainly, which also gives the real size -- plan
+    estimates of derived data (joins) can be off by orders of magnitude.
+    """
+    import math
+
     spark = df.sparkSession
-    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    plain = materialize(df, f"{name}-plain")
+    size = int(str(plain._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    limit = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = max(1, min(limit, math.ceil(size / bucket_bytes)))
     path = scratch_path(spark, name)
     table = f"{name.replace('-', '_')}_{uuid.uuid4().hex[:12]}"
-    df.write.bucketBy(n, key).sortBy(key).option("path", path).mode("overwrite").saveAsTable(table)
+    # hash-partition first (same hash as bucketing): one file per bucket
+    plain.repartition(n, key).write.bucketBy(n, key).sortBy(key).option("path", path).mode("overwrite").saveAsTable(table)
     return spark.table(table)
