@@ -120,14 +120,15 @@ _GRAPH_SQL = """
 
 # The distance table is a written (Parquet) table in the shared folder; the
 # distance and the path outputs of one program share it within a session.
-_DISTANCES: dict[tuple[int, str], DataFrame] = {}
+_DISTANCES: dict[tuple[str, str], DataFrame] = {}
 
 
 def part_distances(spark: SparkSession, sf: str) -> DataFrame:
-    key = (id(spark.sparkContext._jsc), sf)
-    if key not in _DISTANCES:
-        _DISTANCES[key] = shortest_paths(part_edges(spark, sf), SOURCE_PART, MAX_HOPS)
-    return _DISTANCES[key]
+    key = (spark.sparkContext.applicationId, sf)
+    cached = _DISTANCES.get(key)
+    if cached is None or cached.sparkSession is not spark:
+        cached = _DISTANCES[key] = shortest_paths(part_edges(spark, sf), SOURCE_PART, MAX_HOPS)
+    return cached
 
 
 @query(

@@ -32,13 +32,13 @@ def daily_tmax(spark: SparkSession, sf: str) -> DataFrame:
 
 # Fitted models are kept per session and input, the way one program trains
 # and saves a model that the scoring programs then load.
-_WEATHER: dict[tuple[int, str], dict] = {}
+_WEATHER: dict[tuple[str, str], dict] = {}
 
 
 def _fit_weather(spark: SparkSession, sf: str, baseline: bool = True):
-    key = (id(spark.sparkContext._jsc), sf)
+    key = (spark.sparkContext.applicationId, sf)
     st = _WEATHER.get(key)
-    if st is None:
+    if st is None or st["data"].sparkSession is not spark:
         data = materialize(M.with_yesterday(daily_tmax(spark, sf)), "tmax_days")
         train, valid = M.hash_split(data, ["station", "date"])
         st = _WEATHER[key] = {"data": data, "train": M.for_training(train), "valid": valid}
