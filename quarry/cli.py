@@ -89,7 +89,9 @@ def relative_scores(spark, a) -> None:
         J.get_or_default(obj, "score", "double", 0.0).alias("score"),
         F.when(~J.present(obj, "author"), F.lit("unknown")).otherwise(J.get(obj, "author", "string")).alias("author"),
     ).where(F.col("score").isNotNull())
-    rel = relative_score(comments, drop_empty_group=a.broadcast, strategy="broadcast" if a.broadcast else "auto")
+    rel = relative_score(
+        comments, drop_empty_group=a.broadcast, strategy="broadcast" if a.broadcast else "auto", materialize_input=True
+    )
     out = rel.orderBy(F.desc("rel"), "author")
     K.write_text(out.select(F.format_string("(%s, '%s')", F.col("rel").cast("string"), "author").alias("value")), a.output)
 

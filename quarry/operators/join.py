@@ -58,14 +58,22 @@ def relative_score(
     drop_empty_group: bool = False,
     strategy: str = "auto",
     max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+    materialize_input: bool = False,
 ) -> DataFrame:
     """``(rel, author, group)``: each score divided by its group's average,
     for groups whose average is positive.
 
     The averages are one aggregate (partial + final) joined back on the
     group; a window average would shuffle and sort every row of a hot group
-    into one task.
+    into one task.  The input is read twice (aggregate, then probe); with
+    ``materialize_input`` the parsed rows are written once to the shared
+    folder and both sides read that copy (for expensive inputs such as raw
+    JSON text).
     """
+    if materialize_input:
+        from quarry.session import materialize
+
+        comments = materialize(comments.select(group, score, author), "relative-input")
     rows = comments.where(F.col(group).isNotNull())
     if drop_empty_group:
         rows = rows.where(F.col(group) != "")
