@@ -12,14 +12,18 @@ from quarry.operators.aggregate import exact_median
 from quarry.operators.join import join_small
 
 
-def area_flags(customers: DataFrame, prefixes: DataFrame, postal: Column, prefix_col: str = "pcprefix") -> DataFrame:
-    """``(custid, in_area)``: 1 when the customer's postal prefix is in the
-    prefix list.  The DISTINCT prefix list is bounded by the postal system
-    (a few thousand codes) and is broadcast behind a row guard."""
+def area_flags(
+    customers: DataFrame, prefixes: DataFrame, postal: Column, prefix_col: str = "pcprefix", keep: Sequence[str] = ()
+) -> DataFrame:
+    """``(custid, *keep, in_area)``: 1 when the customer's postal prefix is in
+    the prefix list.  The DISTINCT prefix list is bounded by the postal
+    system (a few thousand codes) and is broadcast behind a row guard;
+    ``keep`` carries customer columns through, so callers need no second
+    scan and join of the customer table."""
     vp = prefixes.select(F.col(prefix_col).alias("_vp")).distinct()
     joined = join_small(customers.withColumn("_pp", postal), vp, F.col("_pp") == F.col("_vp"), "left",
                         strategy="broadcast", max_broadcast_rows=1_000_000)
-    return joined.select("custid", F.when(F.col("_vp").isNotNull(), 1).otherwise(0).alias("in_area"))
+    return joined.select("custid", *keep, F.when(F.col("_vp").isNotNull(), 1).otherwise(0).alias("in_area"))
 
 
 def spend_by_label(purchases: DataFrame, label: Column, amount: str = "amount", key: str = "custid") -> DataFrame:

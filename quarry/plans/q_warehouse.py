@@ -42,15 +42,18 @@ def purchases(spark: SparkSession, sf: str) -> DataFrame:
     return o.select(F.col("o_custkey").alias("custid"), F.col("o_totalprice").alias("amount"), F.col("o_orderdate").alias("pdate"))
 
 
-def area_customers(spark: SparkSession, sf: str) -> DataFrame:
-    """The area-flag view: ``(custid, in_area)``."""
-    prefixes = table(spark, sf, "nation", ["n_nationkey"]).select(
+def area_prefixes(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "nation", ["n_nationkey"]).select(
         F.lpad(F.col("n_nationkey").cast("string"), 2, "0").alias("pcprefix")
     )
+
+
+def area_customers(spark: SparkSession, sf: str) -> DataFrame:
+    """The area-flag view: ``(custid, in_area)``."""
     cust = table(spark, sf, "customer", ["c_custkey", "c_name"]).select(
         F.col("c_custkey").alias("custid"), F.col("c_name").alias("postalcode")
     )
-    return W.area_flags(cust, prefixes, F.substring("postalcode", 17, 2))
+    return W.area_flags(cust, area_prefixes(spark, sf), F.substring("postalcode", 17, 2))
 
 
 _AREA_SQL = """
@@ -96,7 +99,10 @@ def q23_payment_average(spark: SparkSession, sf: str) -> DataFrame:
     """,
 )
 def q24_spend_by_region(spark: SparkSession, sf: str) -> DataFrame:
-    cust = customers(spark, sf).select("custid", "province").join(area_customers(spark, sf), "custid")
+    # one customer scan: region and area flag together
+    cust = W.area_flags(
+        customers(spark, sf), area_prefixes(spark, sf), F.substring("postalcode", 17, 2), keep=["province"]
+    )
     label = (
         F.when(F.col("in_area") == 1, IN_AREA)
         .when((F.col("in_area") == 0) & (F.col("province") == HOME_PROVINCE), HOME_NOT_AREA)
