@@ -1,0 +1,20 @@
+"""bench.py prints one JSON line with the fields the driver records."""
+
+import json
+import os
+import subprocess
+import sys
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+
+
+def test_bench_prints_one_json_line():
+    env = dict(os.environ, BENCH_SF_DIR="/root/testdata/sf0.001", BENCH_CPUS="2", BENCH_WARM_DIR="/nonexistent")
+    out = subprocess.run(
+        [sys.executable, os.path.join(ROOT, "bench.py"), "q36_key_lookup", "q18_total_bytes"],
+        capture_output=True, text=True, env=env, timeout=600, check=True,
+    ).stdout.strip().splitlines()
+    assert len(out) == 1
+    d = json.loads(out[0])
+    assert d["unit"] == "sec" and d["sf"] == "0.001" and set(d["queries"]) == {"q36_key_lookup", "q18_total_bytes"}
+    assert d["value"] == round(sum(d["queries"].values()), 3) or abs(d["value"] - sum(d["queries"].values())) < 1e-6
