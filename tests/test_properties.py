@@ -99,3 +99,41 @@ def test_tolerant_long_agrees_with_python_int(spark, n):
         except ValueError:
             want.append(None)
     assert got == want
+
+
+def _lab_python(r, g, b):
+    def lin(c):
+        c = c / 255.0
+        return ((c + 0.055) / 1.055) ** 2.4 if c > 0.04045 else c / 12.92
+
+    lr, lg, lb = lin(r), lin(g), lin(b)
+    x = (lr * 0.412453 + lg * 0.357580 + lb * 0.180423) / 0.95047
+    y = lr * 0.212671 + lg * 0.715160 + lb * 0.072169
+    z = (lr * 0.019334 + lg * 0.119193 + lb * 0.950227) / 1.08883
+
+    def f(t):
+        return t ** (1 / 3) if t > 0.008856 else 7.787 * t + 16 / 116
+
+    return 116 * f(y) - 16, 500 * (f(x) - f(y)), 200 * (f(y) - f(z))
+
+
+@PROPS
+@given(rgb=st.lists(st.tuples(st.integers(0, 255), st.integers(0, 255), st.integers(0, 255)), min_size=1, max_size=20))
+def test_lab_matches_python(spark, rgb):
+    from quarry.functions.colour import rgb_to_lab
+
+    df = spark.createDataFrame(rgb, "r int, g int, b int")
+    l_, a_, b_ = rgb_to_lab("r", "g", "b")
+    got = [(row.r, row.g, row.b, row.L, row.A, row.B) for row in
+           df.select("r", "g", "b", l_.alias("L"), a_.alias("A"), b_.alias("B")).collect()]
+    for r, g, b, L, A_, B_ in got:
+        assert (L, A_, B_) == pytest.approx(_lab_python(r, g, b), abs=1e-9)
+
+
+def test_message_bytes_to_points(spark):
+    from quarry.functions.text import parse_points
+    from quarry.streaming.regression import message_text
+
+    msgs = spark.createDataFrame([(bytearray(b"1 3"),), (bytearray(b"2 5"),), (bytearray(b"bad"),)], "value binary")
+    pts = sorted(tuple(r) for r in parse_points(message_text(msgs)).collect())
+    assert pts == [(1.0, 3.0), (2.0, 5.0)]
