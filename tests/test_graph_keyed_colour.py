@@ -142,3 +142,13 @@ def test_long_path_walk(spark):
     d = shortest_paths(e, 0, max_iters=25)
     path = sorted(tuple(r) for r in shortest_path(d, 20, max_steps=25).collect())
     assert path == [(i, i) for i in range(21)]
+
+
+def test_part_graph_distance_histogram(spark):
+    """Hop counts from part 1 at sf0.01."""
+    from quarry.plans import QUERIES
+    from tests.conftest import SF_ORACLE
+
+    d = QUERIES["q21_shortest_distances"](spark, SF_ORACLE)
+    hist = sorted((r.dist, r["count"]) for r in d.groupBy("dist").count().collect())
+    assert hist == [(0.0, 1), (1.0, 15), (2.0, 205), (3.0, 1341), (4.0, 437), (5.0, 1)]
