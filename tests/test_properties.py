@@ -137,3 +137,13 @@ def test_message_bytes_to_points(spark):
     msgs = spark.createDataFrame([(bytearray(b"1 3"),), (bytearray(b"2 5"),), (bytearray(b"bad"),)], "value binary")
     pts = sorted(tuple(r) for r in parse_points(message_text(msgs)).collect())
     assert pts == [(1.0, 3.0), (2.0, 5.0)]
+
+
+def test_survey_figures_at_sf001(spark):
+    """Figures recorded in SURVEY Q1 and Q26 for the sf0.01 tables."""
+    from tests.conftest import SF_ORACLE
+
+    words = QUERIES["q01_word_count"](spark, SF_ORACLE)
+    agg = words.agg(F.count(F.lit(1)).alias("w"), F.sum("n").alias("t")).first()
+    assert (agg.w, agg.t) == (68844, 385538)
+    assert QUERIES["q26_average_per_day"](spark, SF_ORACLE).count() == 31
