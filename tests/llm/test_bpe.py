@@ -1,0 +1,54 @@
+import base64
+import hashlib
+
+import public_tokenizers
+import tiktoken
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from quarry.llm import bpe
+
+PATH = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+RANKS = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(PATH, "rb"))}
+TRUE = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=RANKS, special_tokens={})
+CODEC = bpe.codec(PATH, public_tokenizers.PATTERN)
+
+
+def ids(b):
+    return [int.from_bytes(b[i:i + 4], "little") for i in range(0, len(b), 4)]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.text(max_size=80), max_size=8))
+def test_any_text_encodes_as_the_library_does(texts):
+    got = CODEC.encode_batch(texts)
+    assert [ids(x) for x in got] == [TRUE.encode_ordinary(t) for t in texts]
+    assert [CODEC.decode(x) for x in got] == [t.encode() for t in texts]
+
+
+def test_long_pieces_ties_and_specials():
+    texts = ["a" * 3000, "ab" * 700, " " * 5000 + "x", "é" * 600, "\n" * 2000, "<|endoftext|>", "0" * 1025, "!?" * 900, "aaa aaa  aaaa", "Zürich 東京 🙂🙂"]
+    got = CODEC.encode_batch(texts)
+    assert [ids(x) for x in got] == [TRUE.encode_ordinary(t) for t in texts]
+    assert [CODEC.decode(x).decode() for x in got] == texts
+
+
+def test_forgetting_pieces_changes_nothing(monkeypatch):
+    monkeypatch.setattr(bpe, "KEPT", 3)
+    for t in ["one two three four five", "six two one", ""]:
+        assert ids(CODEC.encode_batch([t])[0]) == TRUE.encode_ordinary(t)
+
+
+def test_digests(spark):
+    texts = ["Hello, world's end", None, "", "x" * 40_000, "Hello, world's end", "ß" * 3000 + " tail"]
+    docs = spark.createDataFrame([(i if i != 5 else None, t, "clash") for i, t in enumerate(texts)], "doc_id long, text string, ids string")
+    got = {r.doc_id: r for r in bpe.digests(docs, PATH, public_tokenizers.PATTERN).collect()}
+    for i, t in enumerate(texts):
+        want = TRUE.encode_ordinary(t or "")
+        r = got[i if i != 5 else None]
+        assert r.n_tokens == len(want)
+        assert r.ids_sha256 == hashlib.sha256(b"".join(x.to_bytes(4, "little") for x in want)).hexdigest()
+        assert r.decoded_sha256 == hashlib.sha256((t or "").encode()).hexdigest()
+    assert bpe.digests(docs.limit(0), PATH, public_tokenizers.PATTERN).count() == 0
+    whole = bpe.encode(docs.drop("ids"), PATH, public_tokenizers.PATTERN)
+    assert {r.doc_id: bytes(r.decoded).decode() for r in whole.collect()}[0] == texts[0]
