@@ -7,11 +7,14 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from quarry.session import scratch_path
+from quarry.session import delete_path, scratch_path
 
 SEED = 42
 
@@ -20,13 +23,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
-def delete_path(spark: SparkSession, path: str) -> None:
-    """Delete a folder of the shared store through Hadoop's file systems."""
-    jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
-
-
 class Scratch:
     """Tables written under ``spark.checkpoint.dir``.
 
@@ -65,8 +61,8 @@ def map_texts(df: DataFrame, fn: Callable[[list], dict], schema: str, text: str
     one document) are decoded at a time, so memory does not follow the batch.
     """
     keep = [f for f in df.schema.fields if f.name != text]
-    out = _schema_of(df, keep, schema)
-    arrow = _arrow(out)
+    out = _schema_of(keep, schema)
+    arrow = arrow_of(out)
     new = arrow.names[len(keep):]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -81,15 +77,11 @@ def map_texts(df: DataFrame, fn: Callable[[list], dict], schema: str, text: str
     return df.mapInArrow(run, out)
 
 
-def _schema_of(df, keep, schema: str):
-    from pyspark.sql import types as T
-
+def _schema_of(keep: list, schema: str) -> T.StructType:
     return T.StructType([T.StructField(f.name, f.dataType, True) for f in keep] + T.StructType.fromDDL(schema).fields)
 
 
-def _arrow(schema) -> pa.Schema:
-    from pyspark.sql.pandas.types import to_arrow_schema
-
+def arrow_of(schema: T.StructType) -> pa.Schema:
     return to_arrow_schema(schema)
 
 
@@ -99,8 +91,6 @@ def split_batch(batch: pa.RecordBatch, text: str, batch_bytes: int) -> Iterator[
     n = len(col)
     if not n:
         return
-    import pyarrow.compute as pc
-
     ends = np.cumsum(np.asarray(pc.fill_null(pc.binary_length(col), 0), dtype=np.int64))
     start = 0
     while start < n:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -46,3 +47,21 @@ def _state(links: DataFrame) -> tuple:
     """Equal before and after a round only if the links are."""
     row = links.agg(F.count("*"), F.bit_xor(F.xxhash64("hi", "lo")), F.bit_xor(F.xxhash64("lo", "hi"))).first()
     return row[0], row[1], row[2]
+
+
+def joined(label: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """``label`` (each position's smallest linked position, itself at first)
+    after linking positions i and j; for the links inside one task."""
+    while len(i):
+        a, b = label[i], label[j]
+        apart = a != b
+        if not apart.any():
+            break
+        i, j, a, b = i[apart], j[apart], a[apart], b[apart]
+        np.minimum.at(label, np.maximum(a, b), np.minimum(a, b))
+        while True:
+            up = label[label]
+            if (up == label).all():
+                break
+            label = up
+    return label

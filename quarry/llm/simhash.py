@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm.common import Scratch, map_texts, shingle_hashes, text_of, words_of
-from quarry.llm.components import connected_components
+from quarry.llm.components import connected_components, joined
 
 WORDS, BITS = 3, 2
 SPLIT = 1024
@@ -147,32 +147,14 @@ def forest(node: np.ndarray, code: np.ndarray, bits: int) -> tuple[np.ndarray, n
         left.append(i)
         right.append(i + d)
     if left:
-        label = _joined(label, np.concatenate(left), np.concatenate(right))
+        label = joined(label, np.concatenate(left), np.concatenate(right))
     for s, size in zip(starts[sizes > FAN * 2].tolist(), sizes[sizes > FAN * 2].tolist()):
         for i, j in search(code[s: s + size], bits):
-            label = _joined(label, i + s, j + s)
+            label = joined(label, i + s, j + s)
     moved = np.flatnonzero(label != np.arange(n))
     return code[moved], code[label[moved]]
 
 
-def _joined(label: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """Labels after linking i and j: the smallest position of each component."""
-    while len(i):
-        a, b = label[i], label[j]
-        open_ = a != b
-        if not open_.any():
-            break
-        i, j, a, b = i[open_], j[open_], a[open_], b[open_]
-        low = np.minimum(a, b)
-        np.minimum.at(label, np.maximum(a, b), low)
-        while True:
-            up = label[label]
-            if (up == label).all():
-                break
-            label = up
-    return label
-
-
 def index_levels(code: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
     """Levels from the top: per node the bits it shares and where it adds them
     to those of its parent (pattern, residual mask)."""
