@@ -3,20 +3,20 @@
 All of these are hash aggregates with a partial (map-side) step, so a hot key
 is pre-reduced inside every task before the shuffle and never has to fit in
 one task.  The one aggregate that Spark would otherwise evaluate by buffering
-a whole group -- the exact median -- is computed here by exact histogram
-refinement instead (see ``exact_median``).
+a whole group -- the exact median -- is computed here over range-partitioned
+counts instead (see ``exact_median``).
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.functions import text as T
 from quarry.operators.common import as_list, null_safe_join
+from quarry.operators.join import MAX_BROADCAST_BYTES, join_small
 from quarry.session import materialize
 
 
@@ -33,10 +33,6 @@ def word_count(lines: DataFrame, text: str = "value", keep_empty: bool = False,
     return words.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
 
 
-def count_per_key(df: DataFrame, keys: str | Sequence[str], alias: str = "n") -> DataFrame:
-    return df.groupBy(*as_list(keys)).agg(F.count(F.lit(1)).alias(alias))
-
-
 def numeric_token_sums(lines: DataFrame, text: str = "value") -> DataFrame:
     """Per distinct number found in the text: ``(number, n, subtotal)`` with
     ``subtotal = number * n`` (exact count, one multiplication: independent
@@ -63,22 +59,17 @@ def average_per_key(
 ) -> DataFrame:
     """Average of ``value`` per key; rows with a NULL key (and NULL values) drop.
 
-    ``partitions`` hash-partitions the rows by key first; the aggregate then
-    reuses that exchange (no second shuffle).  Usually better left to AQE,
-    since it gives up the map-side partial aggregate.
+    ``partitions`` hash-partitions the result by key, for a caller who goes
+    on keyed the same way.  Rows are pre-reduced in their tasks first: a hot
+    key never shuffles its rows.
     """
     keys = as_list(key)
     if drop_null_key:
         for k in keys:
             df = df.where(F.col(k).isNotNull())
     df = df.where(F.col(value).isNotNull())
-    if partitions:
-        df = df.repartition(partitions, *keys)
-    return df.groupBy(*keys).agg(F.avg(value).alias(alias))
-
-
-def max_per_key(df: DataFrame, key: str | Sequence[str], value: str, alias: str) -> DataFrame:
-    return df.groupBy(*as_list(key)).agg(F.max(value).alias(alias))
+    out = df.groupBy(*keys).agg(F.avg(value).alias(alias))
+    return out.repartition(partitions, *keys) if partitions else out
 
 
 def argmax_one(df: DataFrame, key: str | Sequence[str], by: str, payload: str) -> DataFrame:
@@ -96,8 +87,7 @@ def argmax_ties(
     key: str | Sequence[str],
     by: str,
     strategy: str = "auto",
-    max_broadcast_rows: int = 1_000_000,
-    method: str = "join",
+    max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
     materialize_input: bool = False,
 ) -> DataFrame:
     """All rows that reach the per-key maximum of ``by`` (ties kept).
@@ -108,37 +98,20 @@ def argmax_ties(
 
     * ``auto``: plain join; AQE turns it into a broadcast at run time when
       the measured aggregate is under the broadcast threshold.
-    * ``broadcast``: explicit hint, behind a row-count guard (falls back to a
-      shuffle join above ``max_broadcast_rows``).
+    * ``broadcast``: explicit hint, behind a guard of its written size (no
+      hint above ``max_broadcast_bytes``).
     * ``merge``: force a sort-merge join.
 
-    ``method='window'`` uses ``rank() over (partition by key order by by
-    desc) = 1`` instead: one shuffle and no join, but every row of a key is
-    sorted inside one task -- only for many small keys, never when one key
-    may hold a large share of the rows (the default join form is safe there).
-
     The join form reads its input twice (aggregate, then probe).  With
     ``materialize_input`` the input is written once to the shared folder and
     both sides read that copy -- worth it when the input is expensive to
     produce (parsed raw text) and narrow after projection.
     """
-    from quarry.operators.join import join_small
-
     keys = as_list(key)
     if materialize_input:
         df = materialize(df, "argmax-input")
-    if method == "window":
-        w = Window.partitionBy(*keys).orderBy(F.col(by).desc())
-        return df.withColumn("_rank", F.rank().over(w)).where(F.col("_rank") == 1).drop("_rank")
-    if method != "join":
-        raise ValueError(f"unknown method {method!r}")
     best = df.groupBy(*keys).agg(F.max(by).alias(by))
-    return join_small(df, best, keys + [by], how="inner", strategy=strategy, max_broadcast_rows=max_broadcast_rows)
-
-
-def global_sums(df: DataFrame, exprs: dict[str, Column]) -> DataFrame:
-    """Several global aggregates in one pass (one job, not one per value)."""
-    return df.agg(*[e.alias(name) for name, e in exprs.items()])
+    return join_small(df, best, keys + [by], how="inner", strategy=strategy, max_broadcast_bytes=max_broadcast_bytes)
 
 
 # --- exact median -------------------------------------------------------------------
@@ -147,119 +120,53 @@ def exact_median(
     keys: str | Sequence[str],
     value: str,
     alias: str = "median",
-    exact_limit: int = 200_000,
-    buckets: int = 1024,
-    max_passes: int = 64,
     extra: dict[str, Column] | None = None,
     carry: Sequence[str] = (),
 ) -> DataFrame:
     """Exact, interpolated median per group (same value as Spark ``median``).
 
-    Groups with at most ``exact_limit`` rows use Spark's ``median``, whose
-    buffer then holds at most that many values.  Larger groups -- a single
-    key may hold a third of all rows -- never go through one buffer: each
-    pass counts the group's values in ``buckets`` equal-width buckets (a
-    partial+final aggregate), keeps only the bucket holding the wanted rank,
-    and repeats on that narrower range until the bucket holds one distinct
-    value or at most ``exact_limit`` rows, which are then ordered exactly.
-    Per pass the driver sees one small emptiness check.
+    One path for every size, and no group ever goes through one buffer:
+
+    1. the rows are counted per (key, value), a partial + final aggregate;
+    2. the counts are range-partitioned by (key, value) and written, each row
+       with its partition: a group may span any number of partitions;
+    3. totals per (key, partition) say which partition holds the two middle
+       ranks ``floor((n-1)/2)`` and ``ceil((n-1)/2)``;
+    4. only there are the counts added up in order, and the value at each
+       rank is read off.
 
-    Interpolation: with ``n`` values and 0-based ranks ``floor((n-1)/2)`` and
-    ``ceil((n-1)/2)`` the median is the mean of those two order statistics.
+    NaN orders above infinity, as in Spark's sort; -0.0 and 0.0 are equal.
 
     ``extra`` names further aggregates (over ``carry`` columns and the
-    value) computed in the same first pass and returned next to the median,
-    e.g. ``{"n": F.count("id"), "avg": F.avg("amount")}``.
+    value) returned next to the median, e.g. ``{"n": F.count("id"), "avg":
+    F.avg("amount")}``; the narrow rows are then written once, and both
+    passes read that copy.
     """
     keys = as_list(keys)
-    extra = extra or {}
-    rows = df.select(*keys, F.col(value).cast("double").alias("_v"), *[c for c in carry if c not in keys], *([value] if extra and value not in keys and value not in carry else []))
-    stats = rows.groupBy(*keys).agg(
-        F.count("_v").alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"),
-        *[e.alias(name) for name, e in extra.items()],
-    )
+    columns = list(dict.fromkeys([*keys, value, *carry]))
+    rows = df.select(*columns)
     if extra:
-        stats = stats.persist(StorageLevel.MEMORY_AND_DISK)  # one row per group
-    base = rows.select(*keys, "_v").where(F.col("_v").isNotNull())
-    median = _median_from_stats(base, stats, keys, alias, exact_limit, buckets, max_passes)
+        rows = materialize(rows, "median-rows")
+    values = rows.select(*keys, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
+    counts = values.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c"))
+    counts = materialize(counts.repartitionByRange(*keys, "_v").withColumn("_p", F.spark_partition_id()), "median-counts")
+
+    parts = counts.groupBy(*keys, "_p").agg(F.sum("_c").alias("_c"))
+    whole = Window.partitionBy(*keys)
+    before = whole.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.withColumns({"_n": F.sum("_c").over(whole), "_before": F.coalesce(F.sum("_c").over(before), F.lit(0))})
+    middle = F.array(F.floor((F.col("_n") - 1) / 2).cast("bigint"), F.ceil((F.col("_n") - 1) / 2).cast("bigint"))
+    wanted = parts.withColumn("_ranks", F.filter(middle, lambda r: (r >= F.col("_before")) & (r < F.col("_before") + F.col("_c"))))
+    wanted = wanted.where(F.size("_ranks") > 0).select(*keys, "_p", "_n", "_before", "_ranks")
+
+    here = null_safe_join(counts, wanted, [*keys, "_p"])
+    upto = Window.partitionBy(*keys, "_p").orderBy("_v")
+    here = here.withColumn("_to", F.col("_before") + F.sum("_c").over(upto))
+    hits = here.select(*keys, "_v", "_n", F.explode(F.filter("_ranks", lambda r: (r >= F.col("_to") - F.col("_c")) & (r < F.col("_to")))).alias("_r"))
+    low = F.max(F.when(F.col("_r") == F.floor((F.col("_n") - 1) / 2), F.col("_v")))
+    high = F.max(F.when(F.col("_r") == F.ceil((F.col("_n") - 1) / 2), F.col("_v")))
+    median = hits.groupBy(*keys).agg(F.when(low == high, low).otherwise(F.lit(0.5) * low + F.lit(0.5) * high).alias(alias))
     if not extra:
         return median
-    return null_safe_join(stats.select(*keys, *extra.keys()), median, keys, "left")
-
-
-def _median_from_stats(
-    base: DataFrame, stats: DataFrame, keys: list[str], alias: str, exact_limit: int, buckets: int, max_passes: int
-) -> DataFrame:
-    large = stats.where(F.col("_n") > exact_limit).select(*keys, "_n", "_lo", "_hi")
-    if large.isEmpty():  # every group is small: one aggregate, no join
-        return base.groupBy(*keys).agg(F.median("_v").alias(alias))
-    small = null_safe_join(base, large.select(*keys), keys, "left_anti")
-    small_part = small.groupBy(*keys).agg(F.median("_v").alias(alias))
-
-    large = materialize(large, "median-large")  # bounded: at most rows / exact_limit groups
-    # (keys, value) of the large groups, written once to the shared folder:
-    # the passes below read it instead of rescanning the source.
-    big = materialize(null_safe_join(base, large.select(*keys), keys, "left_semi"), "median-values")
-    n = F.col("_n")
-    state = large.select(
-        *keys,
-        F.explode(
-            F.array(
-                F.struct(F.lit(0).alias("t"), F.floor((n - 1) / 2).cast("bigint").alias("r")),
-                F.struct(F.lit(1).alias("t"), F.ceil((n - 1) / 2).cast("bigint").alias("r")),
-            )
-        ).alias("_tr"),
-        "_lo",
-        "_hi",
-        n.alias("_cnt"),
-    ).select(*keys, "_tr.t", "_tr.r", "_lo", "_hi", "_cnt").withColumnsRenamed({"t": "_t", "r": "_rank"})
-
-    finished: list[DataFrame] = []
-    for _ in range(max_passes):
-        state = materialize(state, "median-state")
-        open_ = (F.col("_cnt") > exact_limit) & (F.col("_lo") < F.col("_hi"))
-        finished.append(state.where(~open_))
-        todo = state.where(open_)
-        if todo.isEmpty():
-            break
-        rows = null_safe_join(big, todo, keys).where(F.col("_v").between(F.col("_lo"), F.col("_hi")))
-        width = F.col("_hi") - F.col("_lo")
-        bucket = F.least(F.floor((F.col("_v") - F.col("_lo")) / width * buckets), F.lit(buckets - 1)).cast("int")
-        hist = rows.groupBy(*keys, "_t", "_rank", bucket.alias("_b")).agg(
-            F.count(F.lit(1)).alias("_c"), F.min("_v").alias("_bmin"), F.max("_v").alias("_bmax")
-        )
-        before = Window.partitionBy(*keys, "_t").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-        hist = hist.withColumn("_before", F.coalesce(F.sum("_c").over(before), F.lit(0)))
-        state = hist.where(
-            (F.col("_before") <= F.col("_rank")) & (F.col("_rank") < F.col("_before") + F.col("_c"))
-        ).select(
-            *keys,
-            "_t",
-            (F.col("_rank") - F.col("_before")).alias("_rank"),
-            F.col("_bmin").alias("_lo"),
-            F.col("_bmax").alias("_hi"),
-            F.col("_c").alias("_cnt"),
-        )
-    else:
-        raise RuntimeError("exact_median did not converge")
-
-    done = finished[0]
-    for part in finished[1:]:
-        done = done.unionByName(part)
-    single = done.where(F.col("_lo") == F.col("_hi")).select(*keys, "_t", F.col("_lo").alias("_x"))
-    to_sort = done.where(F.col("_lo") < F.col("_hi"))
-    sorted_pick = (
-        null_safe_join(big, to_sort, keys)
-        .where(F.col("_v").between(F.col("_lo"), F.col("_hi")))
-        .groupBy(*keys, "_t", "_rank")
-        .agg(F.sort_array(F.collect_list("_v")).alias("_vals"))  # <= exact_limit values
-        .select(*keys, "_t", F.element_at("_vals", (F.col("_rank") + 1).cast("int")).alias("_x"))
-    )
-    picks = single.unionByName(sorted_pick)
-    large_part = picks.groupBy(*keys).agg(
-        (
-            F.lit(0.5) * F.max(F.when(F.col("_t") == 0, F.col("_x")))
-            + F.lit(0.5) * F.max(F.when(F.col("_t") == 1, F.col("_x")))
-        ).alias(alias)
-    )
-    return small_part.unionByName(large_part)
+    stats = rows.groupBy(*keys).agg(*[e.alias(name) for name, e in extra.items()])
+    return null_safe_join(stats, median, keys, "left")

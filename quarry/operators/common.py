@@ -26,14 +26,3 @@ def null_safe_join(
     if how in ("left_semi", "left_anti", "semi", "anti"):
         return out
     return out.drop(*[f"__r_{k}" for k in keys])
-
-
-def round_doubles(df: DataFrame, places: int) -> DataFrame:
-    """Round every floating column (for reports and cross-engine checks)."""
-    out = []
-    for field in df.schema.fields:
-        if field.dataType.typeName() in ("double", "float"):
-            out.append(F.round(F.col(field.name).cast("double"), places).alias(field.name))
-        else:
-            out.append(F.col(field.name))
-    return df.select(*out)

@@ -2,10 +2,9 @@
 path reconstruction by joins along the ``prev`` links.
 
 Nothing about the graph passes through the driver: the loop only asks
-whether the improved set is empty.  Each pass's state is written once as
-Parquet to the shared checkpoint folder and read back: one job per pass, the
-lineage is cut (the plan does not grow with the pass count), and the state
-survives the loss of executors.
+whether a pass improved anything.  A pass writes the improved rows only, as
+Parquet in the shared checkpoint folder: the lineage is cut and they survive
+the loss of executors.
 """
 
 from __future__ import annotations
@@ -14,50 +13,62 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarry.session import bucketed_table, ensure_checkpoint_dir, materialize
+from quarry.session import materialize, release
 from quarry.sources.schemas import PATH_STATE
 
+STATE = T.StructType(
+    PATH_STATE.fields
+    + [T.StructField("hops", T.IntegerType(), False), T.StructField("open", T.BooleanType(), False)]
+)
+COMPACT_EVERY = 8
+
+
+def _best(passes: list[DataFrame]) -> DataFrame:
+    """The shortest row of each node.  A later pass holds a node only if it
+    is strictly shorter there, so the least distance is the latest row."""
+    rows = passes[0]
+    for p in passes[1:]:
+        rows = rows.unionByName(p)
+    best = rows.groupBy("node").agg(F.min(F.struct("dist", "prev", "hops")).alias("b"))
+    return best.select("node", "b.dist", "b.prev", "b.hops")
+
 
 def shortest_paths(
     edges: DataFrame,
     source: int,
-    max_iters: int = 6,
+    max_iters: int | None = None,
     trace=None,
 ) -> DataFrame:
-    """``(node, dist, prev, hops)`` for every node reached from ``source`` within
-    ``max_iters`` relaxation passes.
+    """``(node, dist, prev, hops, open)`` for every node reached from ``source``.
 
     * a pass joins the frontier (nodes improved in the previous pass) with
       the edges on ``src``, keeps per node ``min(struct(dist, prev))`` -- the
-      shortest candidate, the smallest predecessor on a tie -- and merges it
-      into the state (full outer join on node), taking candidates that are
-      new or strictly shorter; improved rows are flagged as the next
-      frontier;
-    * the loop stops early when a pass improves nothing;
-    * ``prev`` is NULL for the source.
+      shortest candidate, the smallest predecessor on a tie -- and keeps the
+      candidates that are new or strictly shorter: the next frontier;
+    * the search ends when a pass improves nothing;
+    * ``prev`` is NULL for the source;
+    * ``max_iters`` cuts the search after so many passes.  Nodes on the last
+      frontier are then ``open``: their neighbours were not looked at.  If no
+      row is open, the result is complete.
+
+    The edges are written once, in no fixed buckets: a small frontier is
+    broadcast by AQE and never shuffles them, and a hub's edges are split by
+    its skew join otherwise.  Candidates are pre-reduced in every task.
 
     ``trace`` (optional) is called with ``(pass_number, state)`` after each
     pass, e.g. to write the state per iteration.
     """
     spark: SparkSession = edges.sparkSession
-    ensure_checkpoint_dir(spark)
-    # edges written once, bucketed by src: every pass joins the frontier
-    # against them without shuffling the edges, and they survive the loss
-    # of executors
-    e = bucketed_table(
-        edges.select(F.col("src").cast("bigint"), F.col("dst").cast("bigint"), F.col("weight").cast("double")),
-        "sssp-edges",
-        "src",
+    e = materialize(
+        edges.select(F.col("src").cast("bigint"), F.col("dst").cast("bigint"), F.col("weight").cast("double")), "sssp-edges"
     )
-    schema = T.StructType(
-        PATH_STATE.fields
-        + [T.StructField("hops", T.IntegerType(), False), T.StructField("changed", T.BooleanType(), False)]
-    )
-    state = spark.createDataFrame([(int(source), 0.0, None, 0, True)], schema)
+    frontier = spark.createDataFrame([(int(source), 0.0, None, 0, True)], STATE).drop("open")
+    passes = [frontier]
     if trace is not None:
-        trace(0, state.drop("changed"))
-    for i in range(1, max_iters + 1):
-        frontier = state.where("changed").select("node", "dist", "hops")
+        trace(0, frontier)
+    i = 0
+    while max_iters is None or i < max_iters:
+        i += 1
         cand = frontier.join(e, frontier["node"] == e["src"]).select(
             e["dst"].alias("node"),
             (frontier["dist"] + e["weight"]).alias("dist"),
@@ -65,49 +76,62 @@ def shortest_paths(
             (frontier["hops"] + 1).alias("hops"),
         )
         best = cand.groupBy("node").agg(F.min(F.struct("dist", "prev", "hops")).alias("b"))
-        old = state.select("node", F.struct("dist", "prev", "hops").alias("o"))
-        merged = old.join(best, "node", "full_outer")
-        better = F.col("b").isNotNull() & (F.col("o").isNull() | (F.col("b.dist") < F.col("o.dist")))
-        pick = F.when(better, F.col("b")).otherwise(F.col("o"))
-        # one job per pass: the whole new state, with the improved rows flagged
-        state = materialize(
-            merged.select("node", pick.alias("s"), better.alias("changed")).select(
-                "node", "s.dist", "s.prev", "s.hops", "changed"
-            ),
-            f"sssp-state-{i}",
-        )
-        if state.where("changed").isEmpty():
+        known = _best(passes).select("node", F.col("dist").alias("old"))
+        better = best.join(known, "node", "left").where(F.col("old").isNull() | (F.col("b.dist") < F.col("old")))
+        frontier = materialize(better.select("node", "b.dist", "b.prev", "b.hops"), f"sssp-pass-{i}")
+        if frontier.isEmpty():
+            release(frontier)
+            frontier = None
             break
+        passes.append(frontier)
+        if len(passes) > COMPACT_EVERY:  # so that the plan of a pass stays small
+            kept = materialize(_best(passes), "sssp-state")
+            for p in passes[:-1]:
+                release(p)
+            passes = [kept, frontier]
         if trace is not None:
-            trace(i, state.drop("changed"))
-    return state.drop("changed")
+            trace(i, _best(passes))
+    out = _best(passes)
+    if frontier is None:
+        out = out.withColumn("open", F.lit(False))
+    else:
+        last = frontier.select("node", "dist", F.lit(True).alias("open"))
+        out = out.join(last, ["node", "dist"], "left").withColumn("open", F.coalesce("open", F.lit(False)))
+    out = materialize(out.select("node", "dist", "prev", "hops", "open"), "sssp-distances")
+    for p in [*passes, e]:
+        release(p)
+    return out
 
 
-def shortest_path(dist: DataFrame, target: int | DataFrame, max_steps: int = 6) -> DataFrame:
+def shortest_path(dist: DataFrame, target: int | DataFrame) -> DataFrame:
     """``(step, node)`` along the path from the source to ``target``
     (``step`` 0 = the source).  Empty when the target was not reached.
 
-    The walk follows ``prev`` one hop per join; at most ``max_steps + 1``
-    one-row joins composed into one plan (the one-row frontier is written
-    out every 8 steps to keep the plan linear) -- no collect.
-    ``target`` is a node id or a one-column DataFrame holding it.
+    The walk follows ``prev`` back to the source, one hop per join with one
+    row; every 8 hops that row is written out, which keeps the plans small
+    and tells whether the source was reached.  ``target`` is a node id or a
+    one-column DataFrame of at most one row.
     """
     spark = dist.sparkSession
     if isinstance(target, DataFrame):
-        tgt = target.select(F.col(target.columns[0]).cast("bigint").alias("node"))
+        tgt = materialize(target.select(F.col(target.columns[0]).cast("bigint").alias("node")).limit(2), "sssp-target")
+        if tgt.count() > 1:
+            raise ValueError("the target must be one node")
     else:
         tgt = spark.range(1).select(F.lit(int(target)).cast("bigint").alias("node"))
     d = dist.select("node", "prev", "hops")
-    cur = d.join(F.broadcast(tgt), "node")
-    hops = [cur]
-    for k in range(1, max_steps + 1):
-        cur = d.join(F.broadcast(cur.select(F.col("prev").alias("node")).where(F.col("node").isNotNull())), "node")
-        if k % 8 == 0:
-            # every step's plan contains the previous ones; writing the
-            # one-row frontier now and then keeps the plan size linear
-            cur = materialize(cur, "sssp-walk")
-        hops.append(cur)
-    walk = hops[0]
-    for h in hops[1:]:
-        walk = walk.unionByName(h)
-    return walk.select(F.col("hops").cast("bigint").alias("step"), "node")
+    parts = []
+    while True:
+        walk = cur = d.join(F.broadcast(tgt), "node")  # one row, as are the steps below
+        for _ in range(7):
+            cur = d.join(F.broadcast(cur.select(F.col("prev").alias("node")).where(F.col("node").isNotNull())), "node")
+            walk = walk.unionByName(cur)
+        walk = materialize(walk, "sssp-walk")
+        parts.append(walk)
+        tgt = walk.orderBy("hops").limit(1).select(F.col("prev").alias("node")).where(F.col("node").isNotNull())
+        if tgt.isEmpty():
+            break
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.select(F.col("hops").cast("bigint").alias("step"), "node")

@@ -5,19 +5,18 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.operators.common import as_list
+from quarry.session import materialize
 
-DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
+MAX_BROADCAST_BYTES = 64 << 20
 
 
-def fits_broadcast(small: DataFrame, max_rows: int) -> bool:
-    """Row-count guard for an explicit broadcast.  ``join_small`` persists the
-    side before counting, so the join reuses the rows counted here."""
-    return small.count() <= max_rows
+def fits_broadcast(written: DataFrame, max_bytes: int) -> bool:
+    """Whether a table read from files is at most ``max_bytes`` in them."""
+    return int(str(written._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) <= max_bytes
 
 
 def join_small(
@@ -26,22 +25,21 @@ def join_small(
     on: str | Sequence[str] | Column,
     how: str = "inner",
     strategy: str = "auto",
-    max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+    max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
 ) -> DataFrame:
     """Join a large frame with a side expected to be small.
 
     ``auto``      -- no hint; AQE re-plans with measured sizes and broadcasts
                      only what is actually under the threshold.
-    ``broadcast`` -- explicit broadcast, only after ``fits_broadcast``; a
-                     larger side falls back to a shuffle (sort-merge) join
-                     instead of failing.
+    ``broadcast`` -- the side is written to the shared folder, which gives its
+                     real size, and is broadcast if that is at most
+                     ``max_broadcast_bytes``; above, the choice is AQE's.
     ``merge``     -- force sort-merge (what auto-broadcast-off gives).
     """
     if strategy == "broadcast":
-        # The guard has to compute the small side; keep it so the join does
-        # not compute it (and rescan the big input behind it) a second time.
-        small = small.persist(StorageLevel.MEMORY_AND_DISK)
-        small = F.broadcast(small) if fits_broadcast(small, max_broadcast_rows) else small.hint("merge")
+        small = materialize(small, "join-side")
+        if fits_broadcast(small, max_broadcast_bytes):
+            small = F.broadcast(small)
     elif strategy == "merge":
         small = small.hint("merge")
     elif strategy != "auto":
@@ -57,7 +55,7 @@ def relative_score(
     author: str = "author",
     drop_empty_group: bool = False,
     strategy: str = "auto",
-    max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+    max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
     materialize_input: bool = False,
 ) -> DataFrame:
     """``(rel, author, group)``: each score divided by its group's average,
@@ -71,14 +69,12 @@ def relative_score(
     JSON text).
     """
     if materialize_input:
-        from quarry.session import materialize
-
         comments = materialize(comments.select(group, score, author), "relative-input")
     rows = comments.where(F.col(group).isNotNull())
     if drop_empty_group:
         rows = rows.where(F.col(group) != "")
     avgs = rows.groupBy(group).agg(F.avg(score).alias("_avg")).where(F.col("_avg") > 0)
-    joined = join_small(rows, avgs, group, "inner", strategy, max_broadcast_rows)
+    joined = join_small(rows, avgs, group, "inner", strategy, max_broadcast_bytes)
     return joined.select((F.col(score) / F.col("_avg")).alias("rel"), F.col(author).alias("author"), F.col(group))
 
 

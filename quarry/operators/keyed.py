@@ -57,10 +57,11 @@ def latest_per_key(df: DataFrame, key: str | Sequence[str], order: Sequence[str]
     return df.groupBy(*keys).agg(F.max_by(payload, ordering).alias("_row")).select(*keys, "_row.*")
 
 
-def dedupe_on_key(df: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Rows differing in any key column all stay; identical keys collapse to
-    the latest arrival (one shuffle on the full key)."""
-    return df.dropDuplicates(list(key))
+def dedupe_on_key(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """Rows differing in any key column all stay; of those with one key the
+    row with the largest ``order`` tuple, the latest arrival, stays."""
+    rest = [c for c in df.columns if c not in key]
+    return latest_per_key(df, key, [*order, *[c for c in rest if c not in order]], rest).select(*df.columns)
 
 
 def create_table_if_absent(spark, name: str, schema, location: str, fmt: str = "parquet"):

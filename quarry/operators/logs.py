@@ -8,29 +8,26 @@ from pyspark.sql import functions as F
 from quarry.functions.text import parse_access_log, request_id
 
 
+FIELDS = ("host", "datetime", "path", "bytes")
+
+
 def log_rows(lines: DataFrame, position: str | None = None, value: str = "value") -> DataFrame:
     """``(host, datetime, path, bytes, req_id)`` from access-log lines.
 
-    ``req_id`` hashes the parsed fields plus a deterministic line position,
-    so a retried task reproduces the same ids and identical lines still get
-    distinct ids.  Without a ``position`` column, the file name and
-    ``monotonically_increasing_id`` (split index + row index in the split,
-    stable for the same input splits) are used.
+    ``req_id`` hashes the parsed fields and, so that equal lines get distinct
+    ids, a ``position`` column of the lines or else the occurrence: the n
+    lines with the same fields are numbered 1 to n.  Neither depends on how
+    the input is split, so a retried task or a reload on another cluster
+    gives the same ids.  Equal lines are counted, a partial + final
+    aggregate, and spread out again: a hot line never gathers in one task
+    before it is numbered.
     """
+    parsed = parse_access_log(lines, value)
     if position is None:
-        lines = lines.select(
-            value,
-            F.concat_ws("#", F.input_file_name(), F.monotonically_increasing_id().cast("string")).alias("_pos"),
-        )
+        counted = parsed.groupBy(*FIELDS).agg(F.count(F.lit(1)).alias("_n"))
+        parsed = counted.select(*FIELDS, F.explode(F.sequence(F.lit(1), F.col("_n"))).alias("_pos"))
         position = "_pos"
-    parsed = parse_access_log(lines, value)
-    return parsed.select(
-        "host",
-        "datetime",
-        "path",
-        "bytes",
-        request_id("host", "datetime", "path", "bytes", position).alias("req_id"),
-    )
+    return parsed.select(*FIELDS, request_id(*FIELDS, position).alias("req_id"))
 
 
 def host_totals(rows: DataFrame) -> DataFrame:

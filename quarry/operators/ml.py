@@ -10,10 +10,12 @@ be recomputed anywhere.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.ml import Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import MultilayerPerceptronClassifier
-from pyspark.ml.feature import IndexToString, SQLTransformer, StringIndexer, VectorAssembler
+from pyspark.ml.feature import IndexToString, SQLTransformer, StringIndexerModel, VectorAssembler
 from pyspark.ml.regression import RandomForestRegressor
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
@@ -23,14 +25,22 @@ from quarry.functions.colour import rgb_to_lab
 from quarry.operators.join import with_previous_day
 
 DAY_OF_YEAR_SQL = "SELECT *, dayofyear(date) AS day_of_year FROM __THIS__"
-# Yesterday's value as a pipeline step (used when scoring raw rows).
-ADD_YESTERDAY_SQL = """
-    SELECT today.*, yesterday.tmax AS yesterday_tmax
-    FROM __THIS__ AS today
-    INNER JOIN __THIS__ AS yesterday
-      ON date_sub(today.date, 1) = yesterday.date AND today.station = yesterday.station
-"""
 BASE_FEATURES = ["latitude", "longitude", "elevation", "day_of_year"]
+# Columns that a row needs to be scored; the last only by the second model.
+INPUTS = ["latitude", "longitude", "elevation", "date", "yesterday_tmax"]
+
+
+def digest_split(df: DataFrame, key: Sequence[str], train_fraction: float = 0.75) -> tuple[DataFrame, DataFrame]:
+    """Like ``hash_split`` by the first 8 hex digits of an MD5 of the key's
+    text, which any other engine can repeat."""
+    text = F.concat_ws("|", *[F.col(c).cast("string") for c in key])
+    bucket = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint") % 10_000
+    cut = int(train_fraction * 10_000)
+    return df.where(bucket < cut), df.where(bucket >= cut)
+
+
+def with_day_of_year(df: DataFrame, date: str = "date") -> DataFrame:
+    return df.withColumn("day_of_year", F.dayofyear(date))
 
 
 def hash_split(df: DataFrame, key: Sequence[str], train_fraction: float = 0.75, seed: int = 42) -> tuple[DataFrame, DataFrame]:
@@ -40,18 +50,16 @@ def hash_split(df: DataFrame, key: Sequence[str], train_fraction: float = 0.75,
     return df.where(bucket < cut), df.where(bucket >= cut)
 
 
-def for_training(df: DataFrame, rows_per_partition: int = 4096) -> DataFrame:
-    """Training input spread over enough partitions for its size.
+TRAIN_PARTITIONS = 32
 
-    Tree and gradient learners make many passes over their input, one task
-    per partition: a sizeable table written as one file would keep every pass
-    on one core, while splitting a tiny one only adds per-task overhead to
-    each pass.  Target: one partition per ``rows_per_partition`` rows, at
-    most the default parallelism; inputs that already have that many
-    partitions are left alone (always the case for large data).
-    """
-    target = min(df.sparkSession.sparkContext.defaultParallelism, max(1, df.count() // rows_per_partition))
-    return df if df.rdd.getNumPartitions() >= target else df.repartition(target)
+
+def for_training(df: DataFrame, key: Sequence[str], partitions: int = TRAIN_PARTITIONS) -> DataFrame:
+    """Training rows in a fixed number of partitions by a hash of the row key,
+    sorted by it.  Learners draw samples and add floats by partition, so this
+    makes the fitted model a matter of the rows alone, not of the cores or
+    the files.  ``partitions`` is a parameter of the model, to be raised with
+    the size of the training set."""
+    return df.repartition(partitions, *key).sortWithinPartitions(*key)
 
 
 def with_yesterday(df: DataFrame) -> DataFrame:
@@ -67,31 +75,52 @@ def tmax_regressor(use_yesterday: bool, trees: int = 50, depth: int = 10, seed:
     return Pipeline(
         stages=[
             SQLTransformer(statement=DAY_OF_YEAR_SQL),
-            VectorAssembler(inputCols=cols, outputCol="features", handleInvalid="skip"),
+            VectorAssembler(inputCols=cols, outputCol="features", handleInvalid="error"),
             RandomForestRegressor(featuresCol="features", labelCol="tmax", numTrees=trees, maxDepth=depth, seed=seed),
         ]
     )
 
 
+class WithYesterday(Transformer, DefaultParamsReadable, DefaultParamsWritable):
+    """Pipeline stage that joins ``yesterday_tmax`` to raw daily rows."""
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        return with_yesterday(dataset)
+
+
 def scoring_model(fitted: PipelineModel) -> PipelineModel:
     """A fitted with-yesterday model that joins yesterday itself when scoring
     raw daily rows (for ``score_tomorrow``)."""
-    return PipelineModel(stages=[SQLTransformer(statement=ADD_YESTERDAY_SQL), *fitted.stages])
+    return PipelineModel(stages=[WithYesterday(), *fitted.stages])
+
+
+def predict(model: PipelineModel, rows: DataFrame, inputs: Sequence[str]) -> DataFrame:
+    """``rows`` with ``prediction``.  A row with a NULL among ``inputs`` cannot
+    be scored: it stays, with a NULL prediction, and the metrics count it."""
+    whole = reduce(and_, [F.col(c).isNotNull() for c in inputs])
+    scored = model.transform(rows.where(whole)).select(*rows.columns, "prediction")
+    return scored.unionByName(rows.where(~whole).withColumn("prediction", F.lit(None).cast("double")))
 
 
 def regression_metrics(preds: DataFrame, label: str = "tmax", prediction: str = "prediction") -> DataFrame:
-    """One row ``(n, rmse, r2)`` from a prediction table, in one aggregate."""
-    err = F.col(label) - F.col(prediction)
+    """One row ``(n, scored, rmse, r2)`` from a prediction table, in one
+    aggregate: all rows, those with a label and a prediction, and the fit on
+    the latter."""
+    both = F.col(label).isNotNull() & F.col(prediction).isNotNull()
+    y = F.when(both, F.col(label).cast("double"))
+    err = y - F.col(prediction)
     agg = preds.agg(
         F.count(F.lit(1)).alias("n"),
+        F.count(y).alias("scored"),
         F.avg(err * err).alias("mse"),
         F.sum(err * err).alias("sse"),
-        F.var_pop(label).alias("var"),
+        F.var_pop(y).alias("var"),
     )
     return agg.select(
         "n",
+        "scored",
         F.sqrt("mse").alias("rmse"),
-        (F.lit(1.0) - F.try_divide(F.col("sse"), F.col("var") * F.col("n"))).alias("r2"),
+        (F.lit(1.0) - F.try_divide(F.col("sse"), F.col("var") * F.col("scored"))).alias("r2"),
     )
 
 
@@ -120,32 +149,33 @@ class RgbToLab(Transformer, DefaultParamsReadable, DefaultParamsWritable):
         return dataset.withColumns({"labL": l_, "labA": a_, "labB": b_})
 
 
-def colour_classifier(n_classes: int, space: str = "rgb", hidden: int = 30, iters: int = 100, seed: int = 42) -> Pipeline:
+def word_index(words: DataFrame, word: str = "word") -> list[str]:
+    """All words in alphabetic order; a word's place is its label.  Taken from
+    all rows, before any split, so that no part holds an unseen word.  The
+    list is on the driver: meant for a vocabulary of classes, not free text."""
+    return [r[0] for r in words.select(word).where(F.col(word).isNotNull()).distinct().orderBy(word).collect()]
+
+
+def colour_classifier(words: list[str], space: str = "rgb", hidden: int = 30, iters: int = 100, seed: int = 42) -> Pipeline:
     """(R, G, B) [-> LAB] -> features; word -> label; perceptron 3-hidden-n;
-    predicted index mapped back to the word."""
+    predicted index mapped back to the word (``predicted_word``)."""
     stages: list = []
     if space == "lab":
         stages.append(RgbToLab())
         inputs = ["labL", "labA", "labB"]
     else:
         inputs = ["R", "G", "B"]
-    indexer = StringIndexer(inputCol="word", outputCol="label", stringOrderType="alphabetAsc")
     stages += [
         VectorAssembler(inputCols=inputs, outputCol="features"),
-        indexer,
+        StringIndexerModel.from_labels(words, inputCol="word", outputCol="label"),
         MultilayerPerceptronClassifier(
-            layers=[3, hidden, n_classes], featuresCol="features", labelCol="label", maxIter=iters, seed=seed
+            layers=[3, hidden, len(words)], featuresCol="features", labelCol="label", maxIter=iters, seed=seed
         ),
+        IndexToString(inputCol="prediction", outputCol="predicted_word", labels=words),
     ]
     return Pipeline(stages=stages)
 
 
-def with_predicted_word(model: PipelineModel, preds: DataFrame) -> DataFrame:
-    """Map the predicted index back to the word (``IndexToString``)."""
-    labels = next(s for s in model.stages if hasattr(s, "labels")).labels
-    return IndexToString(inputCol="prediction", outputCol="predicted_word", labels=labels).transform(preds)
-
-
 def accuracy(preds: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
     """One row ``(n, accuracy)``."""
     return preds.agg(

@@ -65,12 +65,9 @@ def top_page_per_hour(counts: DataFrame) -> DataFrame:
 
 
 def top_pages_per_hour(
-    counts: DataFrame, strategy: str = "auto", method: str = "join", materialize_input: bool = False
+    counts: DataFrame, strategy: str = "auto", materialize_input: bool = False
 ) -> DataFrame:
     """All pages at the hour's maximum: ``(hour, title, views)``, ties kept.
     Hours are few and large, so the default is aggregate + join-back."""
-    return argmax_ties(counts.select("hour", "title", "views"), "hour", "views", strategy=strategy, method=method,
-        materialize_input=materialize_input,
-    ).select(
-        "hour", "title", "views"
-    )
+    return argmax_ties(counts.select("hour", "title", "views"), "hour", "views", strategy=strategy,
+                       materialize_input=materialize_input).select("hour", "title", "views")

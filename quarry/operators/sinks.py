@@ -52,29 +52,50 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite", header: bool =
     df.write.mode(mode).option("header", header).csv(path)
 
 
+def name_files(spark, path: str, name) -> list[str]:
+    """Rename the data files below ``path`` to ``name(folder, k)``, k counting
+    a folder's files, and return the new paths.  For layouts whose file names
+    mean something; the driver renames, so for a bounded number of files."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    out = []
+    for folder in fs.listStatus(root):
+        if folder.isDirectory():
+            at = folder.getPath()
+            parts = [f.getPath() for f in fs.listStatus(at) if f.getPath().getName().startswith("part-")]
+            for k, part in enumerate(parts):
+                new = spark._jvm.org.apache.hadoop.fs.Path(at, name(at.getName(), k))
+                fs.rename(part, new)
+                out.append(new.toString())
+    return out
+
+
 def write_single_file(df: DataFrame, path: str, fmt: str = "text", mode: str = "overwrite") -> None:
     """One output file: only for results known to be tiny (a path, a
     summary row).  Never for data that grows with the input."""
     df.coalesce(1).write.mode(mode).format(fmt).save(path)
 
 
-def append_table(df: DataFrame, fmt: str, options: dict[str, str], spread: int | None = None, by: Sequence[str] | None = None) -> None:
+def append_table(df: DataFrame, fmt: str, options: dict[str, str], spread: int | None = None) -> None:
     """Append to an external table through a data-source format.
 
-    ``spread`` repartitions before writing (round-robin, or hash on ``by``
-    for co-location, e.g. by partition key), so writes run in parallel.
+    ``spread`` deals the rows round-robin to so many writers first, for a
+    store that wants a certain number of connections; never by a key, which
+    would put a hot one on a single writer.
     """
     if spread:
-        df = df.repartition(spread, *by) if by else df.repartition(spread)
+        df = df.repartition(spread)
     df.write.format(fmt).options(**options).mode("append").save()
 
 
 def write_clustered(df: DataFrame, path: str, partition_key: Sequence[str], order: Sequence[str], fmt: str = "parquet",
                     mode: str = "overwrite", partitions: int | None = None) -> None:
     """Layout like a wide-column table: rows of one partition key together,
-    sorted by the clustering columns inside each file."""
-    out = df.repartition(partitions, *partition_key) if partitions else df.repartition(*partition_key)
-    out.sortWithinPartitions(*partition_key, *order).write.mode(mode).format(fmt).save(path)
+    sorted by the clustering columns.  Files hold ranges of (key, clustering
+    columns), so a hot key is shared by several writers in order."""
+    by = [*partition_key, *order]
+    out = df.repartitionByRange(partitions, *by) if partitions else df.repartitionByRange(*by)
+    out.sortWithinPartitions(*by).write.mode(mode).format(fmt).save(path)
 
 
 def iteration_writer(path: str, columns: Sequence[str], fmt: str = "csv"):

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quarry.operators.join import join_small, two_value_pivot
@@ -24,23 +24,24 @@ def observation_etl(obs: DataFrame, station_prefix: str = "CA", observation: str
 def temperature_range(obs: DataFrame, high: str = "TMAX", low: str = "TMIN") -> DataFrame:
     """``(date, station, range)``: (high - low) / 10 per station-day.
 
-    Both halves come from one scan; they meet in an equi-join on
-    ``(date, station)``, so duplicate readings multiply (m x n rows).
+    Each half is a scan of its own, filtered on the observation; they meet
+    in an equi-join on ``(date, station)``, so duplicate readings multiply
+    (m x n rows).
     """
     good = obs.where(quality_ok()).select("date", "station", "observation", "value")
     both = two_value_pivot(good, ["date", "station"], "observation", "value", high, low, "tmax", "tmin")
     return both.select("date", "station", ((F.col("tmax") - F.col("tmin")) / F.lit(10.0)).alias("range"))
 
 
-def temperature_range_sql(spark: SparkSession, obs: DataFrame, view: str = "weather") -> DataFrame:
+def temperature_range_sql(spark: SparkSession, obs: DataFrame, view: str = "weather", high: str = "TMAX", low: str = "TMIN") -> DataFrame:
     """``temperature_range`` written as SQL over temp views (same plan)."""
     obs.createOrReplaceTempView(view)
     spark.sql(f"SELECT * FROM {view} WHERE qflag IS NULL OR qflag = ''").createOrReplaceTempView(f"{view}_good")
     spark.sql(
-        f"SELECT date, station, value AS tmax FROM {view}_good WHERE observation = 'TMAX'"
+        f"SELECT date, station, value AS tmax FROM {view}_good WHERE observation = :high", {"high": high}
     ).createOrReplaceTempView(f"{view}_tmax")
     spark.sql(
-        f"SELECT date, station, value AS tmin FROM {view}_good WHERE observation = 'TMIN'"
+        f"SELECT date, station, value AS tmin FROM {view}_good WHERE observation = :low", {"low": low}
     ).createOrReplaceTempView(f"{view}_tmin")
     return spark.sql(
         f"""
@@ -77,8 +78,7 @@ def sensor_features(readings: DataFrame, holidays: DataFrame) -> DataFrame:
     """
     day = F.to_date("timestamp")
     hol = holidays.select(F.to_date("date").alias("_hdate"), "holiday").dropDuplicates(["_hdate"])
-    joined = join_small(readings.withColumn("_day", day), hol, F.col("_day") == F.col("_hdate"), "left",
-                        strategy="broadcast", max_broadcast_rows=100_000)
+    joined = join_small(readings.withColumn("_day", day), hol, F.col("_day") == F.col("_hdate"), "left", strategy="broadcast")
     return joined.select(
         "timestamp",
         "sensor",
@@ -91,14 +91,12 @@ def sensor_features(readings: DataFrame, holidays: DataFrame) -> DataFrame:
 
 def weekly_max(features: DataFrame) -> DataFrame:
     """Per sensor the ISO week(s) with the highest average temperature,
-    holidays excluded; ties kept.  Both aggregates are partial + final; the
-    per-sensor maximum is joined back on (sensor, value)."""
+    holidays excluded; ties kept.  One aggregate; the maximum is taken over
+    a sensor's weeks, at most 53 rows, and never computed twice."""
     weekly = (
         features.where(~F.col("is_holiday"))
         .groupBy("sensor", F.weekofyear(F.to_date("timestamp")).alias("week"))
-        .agg(F.avg("temp").alias("avg_temp_per_week"))
-    )
-    best = weekly.groupBy("sensor").agg(F.max("avg_temp_per_week").alias("avg_temp_per_week"))
-    return weekly.join(best, ["sensor", "avg_temp_per_week"]).select(
-        "sensor", "week", F.col("avg_temp_per_week").alias("max_avg_temp")
+        .agg(F.avg("temp").alias("max_avg_temp"))
     )
+    best = F.max("max_avg_temp").over(Window.partitionBy("sensor"))
+    return weekly.withColumn("_best", best).where(F.col("max_avg_temp") == F.col("_best")).select("sensor", "week", "max_avg_temp")

@@ -17,12 +17,11 @@ def area_flags(
 ) -> DataFrame:
     """``(custid, *keep, in_area)``: 1 when the customer's postal prefix is in
     the prefix list.  The DISTINCT prefix list is bounded by the postal
-    system (a few thousand codes) and is broadcast behind a row guard;
+    system (a few thousand codes) and is broadcast behind a guard of its size;
     ``keep`` carries customer columns through, so callers need no second
     scan and join of the customer table."""
     vp = prefixes.select(F.col(prefix_col).alias("_vp")).distinct()
-    joined = join_small(customers.withColumn("_pp", postal), vp, F.col("_pp") == F.col("_vp"), "left",
-                        strategy="broadcast", max_broadcast_rows=1_000_000)
+    joined = join_small(customers.withColumn("_pp", postal), vp, F.col("_pp") == F.col("_vp"), "left", strategy="broadcast")
     return joined.select("custid", *keep, F.when(F.col("_vp").isNotNull(), 1).otherwise(0).alias("in_area"))
 
 

@@ -50,7 +50,8 @@ def local_session(
 
 
 def _is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
+    master = spark.sparkContext.master
+    return master == "local" or master.startswith("local[")
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
@@ -69,42 +70,43 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique folder under the shared checkpoint root."""
+    """A fresh, unique folder under the shared checkpoint root, deleted when
+    the driver's JVM ends; ``delete_path`` deletes it sooner."""
     root = ensure_checkpoint_dir(spark)
     # getCheckpointDir() appends a per-application uuid folder; keep scratch
     # next to it so that all of a run's data lives in one shared place.
-    return os.path.join(root.rstrip("/"), "scratch", f"{name}-{uuid.uuid4().hex[:12]}")
+    path = os.path.join(root.rstrip("/"), "scratch", f"{name}-{uuid.uuid4().hex[:12]}")
+    where, fs = _hadoop(spark, path)
+    fs.deleteOnExit(where)
+    return path
 
 
-def materialize(df, name: str):
-    """Write ``df`` as Parquet under the shared checkpoint root and read it
-    back: one job, a reliable copy that survives lost executors, and a plan
-    whose lineage starts at the written files (for iterative jobs)."""
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+def _hadoop(spark: SparkSession, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where, where.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
-def bucketed_table(df, name: str, key: str, bucket_bytes: int = 64 << 20):
-    """Write ``df`` as a table bucketed (and sorted) by ``key`` in the shared
-    folder and return it.  Later joins on ``key`` read the buckets already
-    partitioned: the table side is never shuffled again.
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the shared store through Hadoop's file systems."""
+    where, fs = _hadoop(spark, path)
+    fs.delete(where, True)
 
-    The bucket count follows the measured size (about ``bucket_bytes`` of
-    Parquet per bucket, at most ``spark.sql.shuffle.partitions``): the data
-    is first written plainly, which also gives the real size -- plan
-    estimates of derived data (joins) can be off by orders of magnitude.
-    """
-    import math
 
+def release(df) -> None:
+    """Delete the files behind a table that ``materialize`` returned and that
+    nothing reads any more."""
+    path = getattr(df, "_quarry_path", None)
+    if path:
+        delete_path(df.sparkSession, path)
+
+
+def materialize(df, name: str):
+    """Write ``df`` as Parquet under the shared checkpoint root and read it
+    back: one job, a reliable copy that survives lost executors, and a plan
+    whose lineage starts at the written files (for iterative jobs)."""
     spark = df.sparkSession
-    plain = materialize(df, f"{name}-plain")
-    size = int(str(plain._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    limit = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    n = max(1, min(limit, math.ceil(size / bucket_bytes)))
     path = scratch_path(spark, name)
-    table = f"{name.replace('-', '_')}_{uuid.uuid4().hex[:12]}"
-    # hash-partition first (same hash as bucketing): one file per bucket
-    plain.repartition(n, key).write.bucketBy(n, key).sortBy(key).option("path", path).mode("overwrite").saveAsTable(table)
-    return spark.table(table)
+    df.write.parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._quarry_path = path
+    return out

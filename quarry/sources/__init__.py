@@ -1,5 +1,6 @@
 from quarry.sources.readers import (  # noqa: F401
     DRIVER_TABLES,
+    read_catalog_table,
     read_csv,
     read_json,
     read_lines,

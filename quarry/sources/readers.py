@@ -14,65 +14,37 @@ DRIVER_TABLES = (
 ).split()
 
 
-SPREAD_MIN_BYTES = 1 << 20
-SPREAD_MAX_BYTES = 2 << 30
-
-
-def needs_spread(df: DataFrame, min_bytes: int = SPREAD_MIN_BYTES, max_bytes: int = SPREAD_MAX_BYTES) -> bool:
-    """True when a scan comes from fewer files than half the default
-    parallelism and holds between ``min_bytes`` and ``max_bytes`` (judged on
-    the unprojected scan): such files may be unsplittable (gzip text) or hold
-    a single Parquet row group, so one task per file would do all the work.
-
-    A large input is many files and never qualifies -- a 100 TB table's scan
-    is already parallel -- and above ``max_bytes`` the extra shuffle would
-    cost more than it saves.
-    """
-    target = df.sparkSession.sparkContext.defaultParallelism
-    # count the files on the JVM side: a huge table's file list never
-    # crosses into Python
-    if len(df._jdf.inputFiles()) * 2 > target:
-        return False
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return min_bytes <= size <= max_bytes
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin over the default parallelism (filters still push below)."""
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
-
-
-def table(
-    spark: SparkSession, sf_dir: str, name: str, columns: Sequence[str] | None = None, spread_few: bool = True
-) -> DataFrame:
-    """One of the driver's Parquet tables, optionally projected.
+def table(spark: SparkSession, sf_dir: str, name: str, columns: Sequence[str] | None = None) -> DataFrame:
+    """One of the driver's Parquet tables, optionally projected: a plain
+    pruned scan, the same plan at every size.
 
     Projection is declared up front so the Parquet ``ReadSchema`` holds only
-    the needed columns even before Catalyst prunes.  With ``spread_few`` a
-    scan of few, sizeable files is spread after the projection (see
-    ``needs_spread``).
+    the needed columns even before Catalyst prunes.
     """
     raw = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    df = raw.select(*columns) if columns else raw
-    return spread(df) if spread_few and needs_spread(raw) else df
+    return raw.select(*columns) if columns else raw
 
 
-def register_tables(spark: SparkSession, sf_dir: str, names: Sequence[str] = DRIVER_TABLES) -> None:
-    """Register the driver tables as temp views (for the SQL-form queries)."""
+def register_tables(spark: SparkSession, sf_dir: str, names: Sequence[str] = DRIVER_TABLES, prefix: str = "") -> None:
+    """Register the driver tables as temp views (for queries by table name)."""
     for name in names:
-        table(spark, sf_dir, name).createOrReplaceTempView(name)
+        table(spark, sf_dir, name).createOrReplaceTempView(f"{prefix}{name}")
 
 
-def read_lines(spark: SparkSession, path: str | Sequence[str], with_file: bool = False) -> DataFrame:
+def read_lines(
+    spark: SparkSession, path: str | Sequence[str], with_file: bool = False, partitions: int | None = None
+) -> DataFrame:
     """Text lines as ``value STRING`` (gzip is read transparently, unsplittable).
 
+    ``partitions`` spreads the lines round-robin, for a caller who knows that
+    few large unsplittable files would leave most of the cluster idle.
     ``with_file`` adds ``file_name`` (base name) from the hidden ``_metadata``
     column, which is free: no Python per row.
     """
     df = spark.read.text(path)
     if with_file:
         df = df.select("value", F.col("_metadata.file_name").alias("file_name"))
-    return df
+    return df.repartition(partitions) if partitions else df
 
 
 def read_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructType, header: bool = False) -> DataFrame:
@@ -101,6 +73,12 @@ def read_table(
     return df.select(*columns) if columns else df
 
 
+def read_catalog_table(spark: SparkSession, name: str, columns: Sequence[str] | None = None) -> DataFrame:
+    """A table or view by its catalog name, with a column subset."""
+    df = spark.table(name)
+    return df.select(*columns) if columns else df
+
+
 def read_stream(
     spark: SparkSession,
     fmt: str,
