@@ -25,7 +25,7 @@ from quarry.operators.correlate import correlate, per_key_count_sum
 from quarry.operators.graph import shortest_path, shortest_paths
 from quarry.operators.join import relative_score
 from quarry.operators.logs import log_rows
-from quarry.session import ensure_checkpoint_dir
+from quarry.session import ensure_checkpoint_dir, materialize
 from quarry.sources import read_csv, read_json, read_lines, read_table, schemas
 
 
@@ -66,7 +66,9 @@ def wikipedia_popular_df(spark, a) -> None:
 def reddit_averages(spark, a) -> None:
     comments = J.pick_comments(read_lines(spark, a.inputs), score_type="double")
     avg = A.average_per_key(comments, "subreddit", "score", alias="average")
-    K.write_json(avg, a.output)
+    # one JSON array a line: [subreddit, average]
+    name = F.regexp_extract(F.to_json(F.struct(F.col("subreddit").alias("s"))), r"^\{\"s\":(.*)\}$", 1)
+    K.write_text(avg.select(F.concat(F.lit("["), name, F.lit(", "), F.col("average").cast("string"), F.lit("]")).alias("value")), a.output)
 
 
 def reddit_average_df(spark, a) -> None:
@@ -93,7 +95,7 @@ def relative_scores(spark, a) -> None:
         comments, drop_empty_group=a.broadcast, strategy="broadcast" if a.broadcast else "auto", materialize_input=True
     )
     out = rel.orderBy(F.desc("rel"), "author")
-    K.write_text(out.select(F.format_string("(%s, '%s')", F.col("rel").cast("string"), "author").alias("value")), a.output)
+    K.write_text(K.delimited_lines(out, ["rel", "author"]), a.output)
 
 
 def weather_etl(spark, a) -> None:
@@ -137,19 +139,23 @@ def shortest(spark, a) -> None:
     edges = parse_adjacency(read_lines(spark, a.input_dir))
     trace = K.iteration_writer(a.output_dir, ["node", "dist", "prev"]) if a.trace else None
     dist = shortest_paths(edges, a.src, a.max_iters, trace=trace)
-    path = shortest_path(dist, a.dst, a.max_iters).orderBy("step")
+    if not dist.where("open").isEmpty():
+        print(f"Cut after {a.max_iters} passes: longer paths were not searched", file=sys.stderr)
+    path = shortest_path(dist, a.dst).orderBy("step")
     K.write_single_file(path.select(F.col("node").cast("string").alias("value")), f"{a.output_dir}/path")
 
 
 def weather_train(spark, a) -> None:
     from quarry.operators import ml as M
 
-    data = M.with_yesterday(read_csv(spark, a.inputs, schemas.TMAX))
+    data = materialize(M.with_yesterday(read_csv(spark, a.inputs, schemas.TMAX)), "tmax-days")
     train, valid = M.hash_split(data, ["station", "date"])
-    model = M.tmax_regressor(True).fit(M.for_training(train))
+    train = M.for_training(train, ["station", "date"])
+    for name, use in (("baseline", False), ("yesterday", True)):
+        model = M.tmax_regressor(use).fit(train)
+        m = M.regression_metrics(M.predict(model, valid, M.INPUTS if use else M.INPUTS[:-1])).first()
+        print(f"Validation rmse ({name}): {m.rmse:g}\nValidation r2 ({name}): {m.r2:g}")
     M.scoring_model(model).write().overwrite().save(a.model_dir)
-    m = M.regression_metrics(model.transform(valid)).first()
-    print(f"Validation rmse: {m.rmse:g}\nValidation r2: {m.r2:g}")
 
 
 def weather_test(spark, a) -> None:
@@ -181,10 +187,12 @@ def colour_predict(spark, a) -> None:
     from quarry.operators import ml as M
 
     words = read_csv(spark, a.inputs, schemas.COLOUR_WORDS)
-    n_classes = words.select("word").distinct().count()
-    train, valid = M.hash_split(words, ["R", "G", "B", "word"])
+    key = ["R", "G", "B", "word"]
+    index = M.word_index(words)
+    train, valid = M.hash_split(words, key)
+    train = M.for_training(train, key)
     for space in ("rgb", "lab"):
-        model = M.colour_classifier(n_classes, space).fit(M.for_training(train))
+        model = M.colour_classifier(index, space).fit(train)
         acc = M.accuracy(model.transform(valid)).first().accuracy
         print(f"Validation score for {space.upper()} model: {acc:g}")
 
@@ -218,7 +226,7 @@ def main(argv: list[str] | None = None) -> None:
     cmd("read_stream", read_stream, (["topic"], {}), (["checkpoint"], {}), (["--servers"], {"default": "localhost:9092"}),
         (["--every"], {"default": "10 seconds"}), (["--seconds"], {"type": int, "default": None}))
     cmd("shortest_path", shortest, (["input_dir"], {}), (["output_dir"], {}), (["src"], {"type": int}), (["dst"], {"type": int}),
-        (["--max-iters"], {"type": int, "default": 6}), (["--trace"], {"action": "store_true"}))
+        (["--max-iters"], {"type": int, "default": None}), (["--trace"], {"action": "store_true"}))
     cmd("weather_train", weather_train, (["inputs"], {}), (["model_dir"], {}))
     cmd("weather_test", weather_test, (["model_dir"], {}), (["inputs"], {}))
     cmd("weather_tomorrow", weather_tomorrow, (["model_dir"], {}), (["--station"], {"required": True}),

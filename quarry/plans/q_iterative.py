@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from quarry.functions.text import parse_adjacency
 from quarry.operators.graph import shortest_path, shortest_paths
 from quarry.operators.logs import log_rows
-from quarry.operators.sinks import append_table
+from quarry.operators.sinks import append_table, write_text
 from quarry.plans.registry import query
 from quarry.session import scratch_path
-from quarry.sources import read_table, table
+from quarry.sources import read_lines, read_table, table
 from quarry.streaming.regression import start_fit
 
 # --- Q15: access-log lines derived from `pages` -------------------------------
@@ -52,15 +53,35 @@ def page_log_lines(spark: SparkSession, sf: str) -> DataFrame:
     """,
 )
 def q15_log_load(spark: SparkSession, sf: str) -> DataFrame:
-    """Parse, append to a table with the writes spread round-robin over the
-    cluster's parallelism (a hash on host would put a hot host on one
-    writer), and read the table back."""
+    """Parse, append to a table from the tasks that parsed, and read the table
+    back. A file sink needs no repartitioning."""
     rows = log_rows(page_log_lines(spark, sf), position="page_id")
     path = scratch_path(spark, "access_log_table")
-    append_table(rows, "parquet", {"path": path}, spread=spark.sparkContext.defaultParallelism)
+    append_table(rows, "parquet", {"path": path})
     return read_table(spark, "parquet", {"path": path})
 
 
+@query(
+    "q15_log_occurrences",
+    r"""
+    WITH p AS (SELECT lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/:?#]+)', 1)) AS host,
+                      TIMESTAMP '1995-08-01 00:00:00' AS datetime, '/' AS path,
+                      CAST(strlen(html) // 500 AS BIGINT) AS bytes FROM pages),
+         q AS (SELECT *, row_number() OVER (PARTITION BY host, bytes) AS k FROM p WHERE host <> '')
+    SELECT host, datetime, path, bytes,
+           sha256(concat_ws(chr(1), host, '1995-08-01 00:00:00', path, CAST(bytes AS VARCHAR), CAST(k AS VARCHAR))) AS req_id
+    FROM q
+    """,
+)
+def q15_log_occurrences(spark: SparkSession, sf: str) -> DataFrame:
+    """Request ids without a position: many pages give the same line (host,
+    one time, one path, size in half kilobytes), told apart by occurrence."""
+    p = table(spark, sf, "pages", ["url", "html"])
+    size = F.floor(F.octet_length("html") / 500).cast("string")
+    line = F.concat(F.lower(F.regexp_extract("url", URL_HOST, 1)), F.lit(' - - [01/Aug/1995:00:00:00 -0400] "GET / HTTP/1.0" 200 '), size)
+    return log_rows(p.select(line.alias("value")))
+
+
 # --- Q19: streaming regression over `events` -----------------------------------
 @query(
     "q19_stream_regression",
@@ -78,7 +99,8 @@ def q19_stream_regression(spark: SparkSession, sf: str) -> DataFrame:
     summary (the cluster-safe sink), which is returned."""
     schema = table(spark, sf, "events").schema
     stream = (
-        spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
+        # a glob, so that the table may be one file or a folder of part files
+        spark.readStream.schema(schema).parquet(f"{sf.rstrip('/')}/events.parque[t]")
         .select(F.concat_ws(" ", F.col("user_id").cast("string"), F.col("value").cast("string")).alias("value"))
     )
     out = scratch_path(spark, "q19_fit")
@@ -86,6 +108,9 @@ def q19_stream_regression(spark: SparkSession, sf: str) -> DataFrame:
     def publish(batch: DataFrame, epoch: int) -> None:
         batch.write.mode("overwrite").parquet(out)
 
+    # the fit of no points, in case no batch ever runs
+    publish(spark.createDataFrame([(0, None, None)], "n bigint, slope double, intercept double"), -1)
+
     q = start_fit(stream, scratch_path(spark, "q19_state"), sink="foreach", on_batch=publish, available_now=True)
     q.awaitTermination()
     fit = spark.read.parquet(out)
@@ -95,40 +120,34 @@ def q19_stream_regression(spark: SparkSession, sf: str) -> DataFrame:
 # --- Q21-Q22: shortest paths over a part graph ------------------------------------
 # Edge a -> b when part b is on the line right after part a's line in one order.
 SOURCE_PART = 1
-MAX_HOPS = 6
 
 
 def part_edges(spark: SparkSession, sf: str) -> DataFrame:
+    """One scan and one shuffle: the parts on an order's next line by a range
+    window over the few lines an order has."""
     li = table(spark, sf, "lineitem", ["l_orderkey", "l_linenumber", "l_partkey"])
-    a = li.select(F.col("l_orderkey").alias("o"), (F.col("l_linenumber") + 1).alias("ln"), F.col("l_partkey").alias("src"))
-    b = li.select(F.col("l_orderkey").alias("o"), F.col("l_linenumber").alias("ln"), F.col("l_partkey").alias("dst"))
-    return a.join(b, ["o", "ln"]).select("src", "dst").distinct().withColumn("weight", F.lit(1.0))
+    following = Window.partitionBy("l_orderkey").orderBy("l_linenumber").rangeBetween(1, 1)
+    after = F.collect_set("l_partkey").over(following)
+    pairs = li.select(F.col("l_partkey").alias("src"), F.explode(after).alias("dst"))
+    return pairs.distinct().withColumn("weight", F.lit(1.0))
 
 
 _GRAPH_SQL = """
     edges AS (SELECT DISTINCT a.l_partkey AS src, b.l_partkey AS dst
               FROM lineitem a JOIN lineitem b ON a.l_orderkey = b.l_orderkey AND b.l_linenumber = a.l_linenumber + 1),
-    reach(node, dist) AS (SELECT CAST(1 AS BIGINT), 0
-                          UNION SELECT e.dst, r.dist + 1 FROM reach r JOIN edges e ON e.src = r.node WHERE r.dist < 6),
-    best AS (SELECT node, min(dist) AS dist FROM reach GROUP BY node),
-    prevs AS (SELECT b.node, b.dist,
-                     (SELECT min(e.src) FROM edges e JOIN best p ON p.node = e.src
-                      WHERE e.dst = b.node AND p.dist = b.dist - 1) AS prev
-              FROM best b)
+    best(node, dist) USING KEY (node) AS (
+        SELECT CAST(1 AS BIGINT), 0
+        UNION
+        SELECT e.dst, min(r.dist) + 1 FROM best r JOIN edges e ON e.src = r.node
+        WHERE e.dst NOT IN (SELECT node FROM recurring.best) GROUP BY e.dst),
+    prevs AS (SELECT b.node, b.dist, min(e.src) AS prev
+              FROM best b LEFT JOIN (edges e JOIN best p ON p.node = e.src) ON e.dst = b.node AND p.dist = b.dist - 1
+              GROUP BY b.node, b.dist)
 """
 
 
-# The distance table is a written (Parquet) table in the shared folder; the
-# distance and the path outputs of one program share it within a session.
-_DISTANCES: dict[tuple[str, str], DataFrame] = {}
-
-
 def part_distances(spark: SparkSession, sf: str) -> DataFrame:
-    key = (spark.sparkContext.applicationId, sf)
-    cached = _DISTANCES.get(key)
-    if cached is None or cached.sparkSession is not spark:
-        cached = _DISTANCES[key] = shortest_paths(part_edges(spark, sf), SOURCE_PART, MAX_HOPS)
-    return cached
+    return shortest_paths(part_edges(spark, sf), SOURCE_PART)
 
 
 @query(
@@ -155,4 +174,22 @@ def q22_shortest_path(spark: SparkSession, sf: str) -> DataFrame:
     far = dist.agg(F.max(F.struct(F.col("dist"), (-F.col("node")).alias("neg"))).alias("m")).select(
         (-F.col("m.neg")).alias("node")
     )
-    return shortest_path(dist, far, MAX_HOPS)
+    return shortest_path(dist, far)
+
+
+@query(
+    "q21_adjacency_text",
+    """
+    SELECT l_partkey AS src, CAST(l_suppkey AS BIGINT) AS dst, CAST(1 AS DOUBLE) AS weight, CAST(count(*) AS BIGINT) AS n
+    FROM lineitem GROUP BY 1, 2
+    """,
+)
+def q21_adjacency_text(spark: SparkSession, sf: str) -> DataFrame:
+    """Adjacency files: a ``part: supplier supplier ...`` line for each order and
+    part, with and without a blank before the colon, written and parsed back."""
+    li = table(spark, sf, "lineitem", ["l_orderkey", "l_partkey", "l_suppkey"])
+    by = li.groupBy("l_orderkey", "l_partkey").agg(F.collect_list(F.col("l_suppkey").cast("string")).alias("to"))
+    colon = F.when(F.col("l_orderkey") % 2 == 0, ": ").otherwise(" : ")
+    path = scratch_path(spark, "adjacency")
+    write_text(by.select(F.concat(F.col("l_partkey").cast("string"), colon, F.array_join("to", " ")).alias("value")), path)
+    return parse_adjacency(read_lines(spark, path)).groupBy("src", "dst", "weight").agg(F.count(F.lit(1)).alias("n"))

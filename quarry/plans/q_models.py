@@ -1,4 +1,9 @@
-"""Q32-Q34: model pipelines (rows-only checks: no SQL oracle for training)."""
+"""Q32-Q34: model pipelines.
+
+Training has no SQL oracle; what surrounds it has one: the split, the
+features, yesterday's value, the label index, and the metrics of predictors
+that SQL can state (yesterday's value, the majority class).
+"""
 
 from __future__ import annotations
 
@@ -16,66 +21,62 @@ from quarry.sources import table
 
 
 def daily_tmax(spark: SparkSession, sf: str) -> DataFrame:
-    """`events` as daily station maxima: station = user, tmax = the day's
-    largest value; location columns derived from the user id."""
+    """`events` as daily station maxima.  The tables hold no weather, so the
+    maximum gets a season and a climate that can be learnt: the day's largest
+    value, scaled down to noise, on top of a yearly wave and a gradient over
+    the stations (station = user)."""
     e = table(spark, sf, "events", ["user_id", "ts", "value"])
-    d = e.groupBy("user_id", F.to_date("ts").alias("date")).agg(F.max("value").alias("tmax"))
+    d = e.groupBy("user_id", F.to_date("ts").alias("date")).agg(F.max("value").alias("top"))
+    season = F.cos((F.dayofyear("date") - 200) * (2 * 3.141592653589793 / 365)) * 15
     return d.select(
         F.col("user_id").cast("string").alias("station"),
         "date",
         (F.col("user_id") / 10.0).cast("float").alias("latitude"),
         (-F.col("user_id") / 7.0).cast("float").alias("longitude"),
         (F.col("user_id") * 3.0).cast("float").alias("elevation"),
-        F.col("tmax").cast("float").alias("tmax"),
+        (season - F.col("user_id") % 50 * 0.2 + F.col("top") / 100).cast("float").alias("tmax"),
     )
 
 
-# Fitted models are kept per session and input, the way one program trains
-# and saves a model that the scoring programs then load.
-_WEATHER: dict[tuple[str, str], dict] = {}
+KEY = ["station", "date"]
 
 
-def _fit_weather(spark: SparkSession, sf: str, baseline: bool = True):
-    key = (spark.sparkContext.applicationId, sf)
-    st = _WEATHER.get(key)
-    if st is None or st["data"].sparkSession is not spark:
-        data = materialize(M.with_yesterday(daily_tmax(spark, sf)), "tmax_days")
-        train, valid = M.hash_split(data, ["station", "date"])
-        st = _WEATHER[key] = {"data": data, "train": M.for_training(train), "valid": valid}
-    if "yest" not in st:
-        st["yest"] = M.tmax_regressor(True).fit(st["train"])
-    if baseline and "base" not in st:
-        st["base"] = M.tmax_regressor(False).fit(st["train"])
-    return st["data"], st["valid"], st.get("base"), st["yest"]
+def _days(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """All days with yesterday's value, written once, and their split."""
+    data = materialize(M.with_yesterday(daily_tmax(spark, sf)), "tmax-days")
+    train, valid = M.hash_split(data, KEY)
+    return data, M.for_training(train, KEY), valid
 
 
 @query("q32_weather_predictions")
 def q32_weather_predictions(spark: SparkSession, sf: str) -> DataFrame:
     """Validation rows with the with-yesterday model's prediction."""
-    _, valid, _, yest = _fit_weather(spark, sf, baseline=False)
-    return yest.transform(valid).select("station", "date", "tmax", "yesterday_tmax", "prediction")
+    _, train, valid = _days(spark, sf)
+    model = M.tmax_regressor(True).fit(train)
+    return M.predict(model, valid, M.INPUTS).select("station", "date", "tmax", "yesterday_tmax", "prediction")
 
 
 @query("q32_weather_metrics")
 def q32_weather_metrics(spark: SparkSession, sf: str) -> DataFrame:
     """RMSE and R² on validation for both models, and the importance of
     yesterday's value (last feature) in the second."""
-    _, valid, base, yest = _fit_weather(spark, sf)
-    imp = float(yest.stages[-1].featureImportances.toArray()[-1])
-    rows = [
-        M.regression_metrics(base.transform(valid)).select(F.lit("baseline").alias("model"), "*", F.lit(None).cast("double").alias("yesterday_importance")),
-        M.regression_metrics(yest.transform(valid)).select(F.lit("with_yesterday").alias("model"), "*", F.lit(imp).alias("yesterday_importance")),
-    ]
-    return reduce(DataFrame.unionByName, rows)
+    _, train, valid = _days(spark, sf)
+    out = []
+    for name, use in (("baseline", False), ("with_yesterday", True)):
+        model = M.tmax_regressor(use).fit(train)
+        share = float(model.stages[-1].featureImportances.toArray()[-1]) if use else None
+        scores = M.regression_metrics(M.predict(model, valid, M.INPUTS if use else M.INPUTS[:-1]))
+        out.append(scores.select(F.lit(name).alias("model"), "*", F.lit(share).cast("double").alias("yesterday_importance")))
+    return reduce(DataFrame.unionByName, out)
 
 
 @query("q33_score_tomorrow")
 def q33_score_tomorrow(spark: SparkSession, sf: str) -> DataFrame:
     """Train, save the scoring model, load it back, and predict the day after
     each station's latest reading."""
-    data, _, _, yest = _fit_weather(spark, sf, baseline=False)
+    _, train, _ = _days(spark, sf)
     path = scratch_path(spark, "tmax_model")
-    M.scoring_model(yest).write().overwrite().save(path)
+    M.scoring_model(M.tmax_regressor(True).fit(train)).write().overwrite().save(path)
     model = PipelineModel.load(path)
     latest = latest_per_key(
         daily_tmax(spark, sf), "station", ["date"], ["date", "latitude", "longitude", "elevation", "tmax"]
@@ -83,6 +84,49 @@ def q33_score_tomorrow(spark: SparkSession, sf: str) -> DataFrame:
     return M.score_tomorrow(model, latest)
 
 
+_DAYS_SQL = """
+    d AS (SELECT user_id, CAST(ts AS DATE) AS date, max(value) AS top FROM events GROUP BY ALL),
+    y AS (SELECT t.user_id, t.date, t.top, p.top AS yesterday FROM d t JOIN d p ON p.user_id = t.user_id AND p.date = t.date - 1),
+    s AS (SELECT *, CAST('0x' || substring(md5(CAST(user_id AS VARCHAR) || '|' || CAST(date AS VARCHAR)), 1, 8) AS BIGINT) % 10000 AS bucket FROM y)
+"""
+
+
+def daily_top(spark: SparkSession, sf: str) -> DataFrame:
+    e = table(spark, sf, "events", ["user_id", "ts", "value"])
+    d = e.groupBy("user_id", F.to_date("ts").alias("date")).agg(F.max("value").alias("top"))
+    return M.with_previous_day(d, "user_id", "date", "top", "yesterday")
+
+
+@query(
+    "q32_features",
+    f"""
+    WITH {_DAYS_SQL}
+    SELECT user_id, date, CAST(dayofyear(date) AS INTEGER) AS day_of_year, top, yesterday, bucket < 7500 AS train FROM s
+    """,
+)
+def q32_features(spark: SparkSession, sf: str) -> DataFrame:
+    """The regressor's feature table: day of year, yesterday's value, joined
+    before the split, and the part of the split that each row is in."""
+    train, valid = M.digest_split(M.with_day_of_year(daily_top(spark, sf)), ["user_id", "date"])
+    both = train.withColumn("train", F.lit(True)).unionByName(valid.withColumn("train", F.lit(False)))
+    return both.select("user_id", "date", "day_of_year", "top", "yesterday", "train")
+
+
+@query(
+    "q32_yesterday_as_prediction",
+    f"""
+    WITH {_DAYS_SQL}, v AS (SELECT top, yesterday FROM s WHERE bucket >= 7500)
+    SELECT CAST(count(*) AS BIGINT) AS n, CAST(count(*) AS BIGINT) AS scored, round(sqrt(avg((top - yesterday) ** 2)), 6) AS rmse,
+           round(1 - sum((top - yesterday) ** 2) / (var_pop(top) * count(*)), 6) AS r2 FROM v
+    """,
+)
+def q32_yesterday_as_prediction(spark: SparkSession, sf: str) -> DataFrame:
+    """RMSE and R² of the forecast that a day is like the day before."""
+    _, valid = M.digest_split(daily_top(spark, sf), ["user_id", "date"])
+    out = M.regression_metrics(valid, "top", "yesterday")
+    return out.select("n", "scored", F.round("rmse", 6).alias("rmse"), F.round("r2", 6).alias("r2"))
+
+
 def colour_words(spark: SparkSession, sf: str) -> DataFrame:
     """`embeddings` as colour words: R, G, B from the first three components
     (scaled to 0..255), word = the class label."""
@@ -101,12 +145,58 @@ def colour_words(spark: SparkSession, sf: str) -> DataFrame:
 @query("q34_colour_classifier")
 def q34_colour_classifier(spark: SparkSession, sf: str) -> DataFrame:
     """Accuracy of the RGB and the LAB perceptron on the validation split."""
-    words = materialize(colour_words(spark, sf), "colour_words")
-    n_classes = words.select("word").distinct().count()  # one small number
-    train, valid = M.hash_split(words, ["vec_id"])
-    train = M.for_training(train)
+    rows = materialize(colour_words(spark, sf), "colour-words")
+    words = M.word_index(rows)
+    train, valid = M.hash_split(rows, ["vec_id"])
+    train = M.for_training(train, ["vec_id"])
     out = []
     for space in ("rgb", "lab"):
-        model = M.colour_classifier(n_classes, space).fit(train)
+        model = M.colour_classifier(words, space).fit(train)
         out.append(M.accuracy(model.transform(valid)).select(F.lit(space).alias("space"), "n", "accuracy"))
     return reduce(DataFrame.unionByName, out)
+
+
+_WORDS_SQL = """
+    w AS (SELECT vec_id, 'colour' || CAST(label AS VARCHAR) AS word,
+                 CAST('0x' || substring(md5(CAST(vec_id AS VARCHAR)), 1, 8) AS BIGINT) % 10000 AS bucket
+          FROM embeddings WHERE len(embedding) >= 3 AND label IS NOT NULL),
+    i AS (SELECT word, row_number() OVER (ORDER BY word) - 1 AS label FROM (SELECT DISTINCT word FROM w))
+"""
+
+
+def indexed_words(spark: SparkSession, sf: str) -> DataFrame:
+    """`embeddings` labels as words with their place in the sorted word list."""
+    e = table(spark, sf, "embeddings", ["vec_id", "embedding", "label"])
+    rows = e.where((F.size("embedding") >= 3) & F.col("label").isNotNull()).select(
+        "vec_id", F.concat(F.lit("colour"), F.col("label").cast("string")).alias("word")
+    )
+    words = M.word_index(rows)
+    return M.StringIndexerModel.from_labels(words, inputCol="word", outputCol="label").transform(rows) if words else rows.withColumn("label", F.lit(0.0))
+
+
+@query("q34_label_index", f"WITH {_WORDS_SQL} SELECT w.vec_id, w.word, CAST(i.label AS DOUBLE) AS label, w.word AS back FROM w JOIN i USING (word)")
+def q34_label_index(spark: SparkSession, sf: str) -> DataFrame:
+    """Word to label index and back to the word."""
+    rows = indexed_words(spark, sf)
+    words = M.word_index(rows)
+    back = M.IndexToString(inputCol="label", outputCol="back", labels=words).transform(rows) if words else rows.withColumn("back", F.col("word"))
+    return back.select("vec_id", "word", "label", "back")
+
+
+@query(
+    "q34_majority_accuracy",
+    f"""
+    WITH {_WORDS_SQL},
+    l AS (SELECT w.vec_id, w.bucket, i.label FROM w JOIN i USING (word)),
+    top AS (SELECT label FROM l WHERE bucket < 7500 GROUP BY label ORDER BY count(*) DESC, label LIMIT 1)
+    SELECT CAST(count(*) AS BIGINT) AS n, round(avg(CASE WHEN l.label = top.label THEN 1.0 ELSE 0.0 END), 9) AS accuracy
+    FROM l LEFT JOIN top ON true WHERE bucket >= 7500
+    """,
+)
+def q34_majority_accuracy(spark: SparkSession, sf: str) -> DataFrame:
+    """Accuracy of always predicting the training rows' commonest word."""
+    train, valid = M.digest_split(indexed_words(spark, sf), ["vec_id"])
+    counts = train.groupBy("label").count()
+    top = counts.agg(F.max_by("label", F.struct("count", -F.col("label")))).first()[0]  # one label
+    out = M.accuracy(valid.withColumn("prediction", F.lit(top).cast("double")))
+    return out.select("n", F.round("accuracy", 9).alias("accuracy"))

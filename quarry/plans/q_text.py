@@ -140,8 +140,11 @@ _TIES_SQL = f"""
 
 
 def _top_pages(spark: SparkSession, sf: str, strategy: str) -> DataFrame:
-    counts = P.wanted_pages(P.parse_counts4(count_lines4(spark, sf)), LANG, EXCLUDE_TITLE, EXCLUDE_PREFIX)
-    return P.top_pages_per_hour(counts, strategy=strategy)
+    # other languages' lines go before the split; the parsed rows are written
+    # once, and both the maximum and the join back read that copy
+    lines = count_lines4(spark, sf).where(F.col("value").startswith(f"{LANG} "))
+    counts = P.wanted_pages(P.parse_counts4(lines), LANG, EXCLUDE_TITLE, EXCLUDE_PREFIX)
+    return P.top_pages_per_hour(counts, strategy=strategy, materialize_input=True)
 
 
 @query("q05_top_pages_ties", _TIES_SQL)
@@ -268,13 +271,13 @@ def _comments_any(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("q10_relative_score", _REL_SQL.format(extra=""))
 def q10_relative_score(spark: SparkSession, sf: str) -> DataFrame:
-    out = relative_score(_comments_any(spark, sf), "subreddit", "score", "author")
+    out = relative_score(_comments_any(spark, sf), "subreddit", "score", "author", materialize_input=True)
     return out.select(F.round("rel", 6).alias("rel"), "author", "subreddit")
 
 
 @query("q11_relative_score_broadcast", _REL_SQL.format(extra="AND c_mktsegment <> ''"))
 def q11_relative_score_broadcast(spark: SparkSession, sf: str) -> DataFrame:
     out = relative_score(
-        _comments_any(spark, sf), "subreddit", "score", "author", drop_empty_group=True, strategy="broadcast"
+        _comments_any(spark, sf), "subreddit", "score", "author", drop_empty_group=True, strategy="broadcast", materialize_input=True
     )
     return out.select(F.round("rel", 6).alias("rel"), "author", "subreddit")
