@@ -29,7 +29,7 @@ def test_each_stage_against_brute_force(spark, steps):
     known = [d for d in labels if d is not None and labels[d] == 0]
     assert sum(d in kept for d in known) >= 0.97 * len(known)
     model = toxicity.fit(docs, table(spark, SF, "labels"), Scratch(spark, "t"))
-    assert kept == {r.doc_id for r in docs.collect() if model.above([model.linear(r.text)])[0, 0] < 0.5}
+    assert kept == {r.doc_id for r in docs.collect() if model.above([model.linear(r.text)])[0, 0] < toxicity.REJECT}
     rows = clean.collect()
     want = brute_components([r.doc_id for r in rows], [brute_fingerprint(r.text) for r in rows])
     assert sorted(r.doc_id for r in unique.collect()) == sorted(set(want))
