@@ -128,7 +128,7 @@ def part_edges(spark: SparkSession, sf: str) -> DataFrame:
     li = table(spark, sf, "lineitem", ["l_orderkey", "l_linenumber", "l_partkey"])
     following = Window.partitionBy("l_orderkey").orderBy("l_linenumber").rangeBetween(1, 1)
     after = F.collect_set("l_partkey").over(following)
-    pairs = li.select(F.col("l_partkey").alias("src"), F.explode(after).alias("dst"))
+    pairs = li.select(F.col("l_partkey").alias("src"), after.alias("after")).select("src", F.explode("after").alias("dst"))
     return pairs.distinct().withColumn("weight", F.lit(1.0))
 
 

@@ -79,14 +79,39 @@ def test_join_strategies_in_plan(spark):
     assert bc.count() == mg.count() == 20000
 
 
-def test_broadcast_guard_falls_back(spark):
+def test_broadcast_guard_goes_by_written_size(spark):
+    from quarry.session import materialize, release
+
     big = spark.range(0, 1000).select(F.col("id").alias("k"))
     small = spark.range(0, 50).select(F.col("id").alias("k"))
-    assert fits_broadcast(small, 50) and not fits_broadcast(small, 49)
-    out = join_small(big, small, "k", strategy="broadcast", max_broadcast_rows=10)
-    out.count()
-    assert "SortMergeJoin" in out._jdf.queryExecution().executedPlan().toString()
-    assert out.count() == 50
+    written = materialize(small, "t")
+    assert fits_broadcast(written, 1 << 20) and not fits_broadcast(written, 10)
+    release(written)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for limit, node in ((1 << 20, "BroadcastHashJoin"), (10, "SortMergeJoin")):
+            out = join_small(big, small, "k", strategy="broadcast", max_broadcast_bytes=limit)
+            assert out.count() == 50
+            assert node in out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_no_query_leaves_a_cached_frame(spark):
+    from quarry.plans import QUERIES
+
+    for name in ("q06_top_pages_broadcast", "q11_relative_score_broadcast", "q24_spend_by_region", "q30_sensor_features"):
+        QUERIES[name](spark, "/root/testdata/sf0.001").count()
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == 0
+
+
+def test_weekly_max_keeps_ties_and_reads_its_input_once(spark):
+    rows_ = [("2025-10-06", "A", 10.0), ("2025-10-07", "A", 20.0), ("2025-10-13", "A", 15.0), ("2025-10-20", "A", 3.0)]
+    readings = spark.createDataFrame([(t, s, v, False) for t, s, v in rows_], "timestamp string, sensor string, temp double, is_holiday boolean")
+    out = TS.weekly_max(readings)
+    assert sorted((r.week, r.max_avg_temp) for r in out.collect()) == [(41, 15.0), (42, 15.0)]
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("Aggregate") == 1
 
 
 def test_paired_averages_equals_join_of_halves(spark):

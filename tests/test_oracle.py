@@ -8,12 +8,10 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from quarry.plans import ORACLE, QUERIES
 from quarry.sources.readers import DRIVER_TABLES
 from tests.conftest import SF_SMALL
 
-ORACLE = E.oracle_sql()
-QUERIES = E.queries()
-
 
 def _norm(v):
     if v is None or (isinstance(v, float) and math.isnan(v)):
@@ -45,6 +43,10 @@ def test_entry(spark):
     assert df.columns == ["hour", "title", "views"]
 
 
+def test_entry_registers_every_query():
+    assert set(QUERIES) <= set(E.queries()) and set(ORACLE) <= set(E.oracle_sql())
+
+
 def test_every_query_has_oracle_or_is_model():
     missing = set(QUERIES) - set(ORACLE)
     assert missing == {"q32_weather_predictions", "q32_weather_metrics", "q33_score_tomorrow", "q34_colour_classifier"}

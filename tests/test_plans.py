@@ -44,3 +44,18 @@ def test_partition_pruning(spark):
 def test_no_python_evaluation(spark, name):
     p = plan_text(QUERIES[name](spark, SF_SMALL))
     assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p
+
+
+def test_scans_and_exchanges_do_not_follow_the_size(spark):
+    """The plans on tables of 6,000 and 60,000 lines have the same shape."""
+    import re
+
+    for name in ("q13_temp_range", "q16_correlate_logs", "q18_total_bytes", "q27_rgb_to_lab", "q36_key_lookup", "q05_top_pages_ties"):
+        shapes = [re.findall(r"(Scan parquet|Exchange \w+|Aggregate|Join)", plan_text(QUERIES[name](spark, sf))) for sf in (SF_SMALL, "/root/testdata/sf0.01")]
+        assert shapes[0] == shapes[1], name
+        assert not any("RoundRobin" in x for x in shapes[1]), name
+
+
+def test_observation_type_filter_is_pushed(spark):
+    p = plan_text(QUERIES["q13_temp_range"](spark, SF_SMALL))
+    assert "EqualTo(l_returnflag,R)" in p and "EqualTo(l_returnflag,A)" in p

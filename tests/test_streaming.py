@@ -37,3 +37,16 @@ def test_stream_restart_and_batch_equivalence(spark, tmp_path):
     assert second.slope == pytest.approx(2.5) and second.intercept == pytest.approx(1 / 3)
     batch = fit_points(lines_df(spark, ["1 3", "2 5", "3 8", "junk", "4"])).first()
     assert (batch.n, batch.slope, batch.intercept) == pytest.approx((second.n, second.slope, second.intercept))
+
+
+def test_stream_query_reads_a_table_stored_as_a_folder(spark, tmp_path):
+    from quarry.plans import QUERIES
+    from tests.conftest import SF_SMALL
+
+    one = QUERIES["q19_stream_regression"](spark, SF_SMALL).first()
+    spark.read.parquet(f"{SF_SMALL}/events.parquet").repartition(5).write.parquet(str(tmp_path / "many/events.parquet"))
+    many = QUERIES["q19_stream_regression"](spark, str(tmp_path / "many")).first()
+    assert many.n == one.n > 0 and (many.slope, many.intercept) == pytest.approx((one.slope, one.intercept))
+    spark.read.parquet(f"{SF_SMALL}/events.parquet").limit(0).write.parquet(str(tmp_path / "none/events.parquet"))
+    none = QUERIES["q19_stream_regression"](spark, str(tmp_path / "none")).first()
+    assert none.n == 0 and none.slope is None
