@@ -57,30 +57,29 @@ def map_texts(df: DataFrame, fn: Callable[[list], dict], schema: str, text: str
     """Replace column ``text`` by the columns that ``fn`` makes from a list of texts.
 
     ``fn(texts) -> {column: list or array}``; the other columns of ``df`` are
-    carried along and come first. At most about ``batch_bytes`` of text (or
+    carried along and come first, but for columns of the new names, which are
+    replaced. At most about ``batch_bytes`` of text (or
     one document) are decoded at a time, so memory does not follow the batch.
     """
-    keep = [f for f in df.schema.fields if f.name != text]
-    out = _schema_of(keep, schema)
+    made = T.StructType.fromDDL(schema)
+    keep = [f for f in df.schema.fields if f.name not in (text, *made.names)]
+    df = df.select(*[f"`{f.name}`" for f in keep], f"`{text}`")
+    out = T.StructType([T.StructField(f.name, f.dataType, True) for f in keep] + made.fields)
     arrow = arrow_of(out)
-    new = arrow.names[len(keep):]
+    new = made.names
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in split_batch(batch, text, batch_bytes):
                 texts = part.column(part.schema.get_field_index(text)).to_pylist()
-                made = fn(texts)
+                values = fn(texts)
                 cols = [part.column(part.schema.get_field_index(f.name)).cast(arrow.field(i).type) for i, f in enumerate(keep)]
-                cols += [pa.array(made[n], type=arrow.field(len(keep) + i).type) for i, n in enumerate(new)]
+                cols += [pa.array(values[n], type=arrow.field(len(keep) + i).type) for i, n in enumerate(new)]
                 yield pa.RecordBatch.from_arrays(cols, schema=arrow)
 
     return df.mapInArrow(run, out)
 
 
-def _schema_of(keep: list, schema: str) -> T.StructType:
-    return T.StructType([T.StructField(f.name, f.dataType, True) for f in keep] + T.StructType.fromDDL(schema).fields)
-
-
 def arrow_of(schema: T.StructType) -> pa.Schema:
     return to_arrow_schema(schema)
 

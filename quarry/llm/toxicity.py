@@ -6,8 +6,7 @@ all thresholds, which are kept in order. The score is the expected severity,
 the sum of these probabilities; a document is rejected if P(grade > 0) is at
 least ``REJECT``. Toxic documents are rare, so the thresholds start far from
 zero and a single strong word in a long text stays below one half, while clean
-documents stay near their base rate of 0.01; 0.2 lies between (on held-out rows
-97 % of the toxic ones are found, and none of the clean ones).
+documents stay near their base rate of 0.01; 0.2 lies between.
 
 Features are words of four letters or more and word beginnings of four to six
 letters (stems, in languages that join words); a value is 1 + log(1 + 1000 x
@@ -158,25 +157,25 @@ def fit(docs: DataFrame, labels: DataFrame, scratch: Scratch, size: int = SAMPLE
     marker = {r.feature for r in chosen if r.toxic * n[0] > 20 * (r.clean + 1) * n[1]}
 
     def vectors(texts: list) -> dict:
-        index, values, dense = [], [], []
+        cols, vals, dense = [], [], []
         for t in texts:
             cut = words(t)
             f = {k: v for k, v in features(Counter(cut)).items() if k in at}
-            index.append([at[k] for k in f])
-            values.append([value(v, len(cut)) for v in f.values()])
+            cols.append([at[k] for k in f])
+            vals.append([value(v, len(cut)) for v in f.values()])
             hits = sum(n for w, n in Counter(cut).items() if not marker.isdisjoint(_features_of(w.strip(EDGE))))
             dense.append(hits / max(1, len(cut)))
-        return {"index": index, "value": values, "dense": dense}
+        return {"cols": cols, "vals": vals, "dense": dense}
 
-    got = map_texts(rows, vectors, "index array<int>, value array<double>, dense double").collect()
+    got = map_texts(rows, vectors, "cols array<int>, vals array<double>, dense double").collect()
     scratch.drop(rows)
     label, weight, dense = np.array([r.label for r in got]), np.array([r.weight for r in got]), np.array([r.dense for r in got])
     middle = np.median(dense[label == 1])
     grade = np.where(label == 0, 0, np.where(dense < middle, 1, 2))
     if (grade == 1).sum() == 0 or (grade == 2).sum() == 0:
         grade = np.where(label == 1, np.arange(len(label)) % 2 + 1, 0)
-    r = np.repeat(np.arange(len(got)), [len(x.index) for x in got])
-    w, theta = fit_ordinal(r, np.concatenate([np.array(x.index, np.int64) for x in got]), np.concatenate([np.array(x.value) for x in got]), grade, weight, len(at))
+    r = np.repeat(np.arange(len(got)), [len(x.cols) for x in got])
+    w, theta = fit_ordinal(r, np.concatenate([np.array(x.cols, np.int64) for x in got]), np.concatenate([np.array(x.vals) for x in got]), grade, weight, len(at))
     return Ordinal({f: float(w[i]) for f, i in at.items() if abs(w[i]) > 1e-4}, theta)
 
 

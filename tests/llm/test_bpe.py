@@ -50,5 +50,5 @@ def test_digests(spark):
         assert r.ids_sha256 == hashlib.sha256(b"".join(x.to_bytes(4, "little") for x in want)).hexdigest()
         assert r.decoded_sha256 == hashlib.sha256((t or "").encode()).hexdigest()
     assert bpe.digests(docs.limit(0), PATH, public_tokenizers.PATTERN).count() == 0
-    whole = bpe.encode(docs.drop("ids"), PATH, public_tokenizers.PATTERN)
+    whole = bpe.encode(docs, PATH, public_tokenizers.PATTERN)
     assert {r.doc_id: bytes(r.decoded).decode() for r in whole.collect()}[0] == texts[0]
