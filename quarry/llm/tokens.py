@@ -38,7 +38,7 @@ from quarry.llm.store import locate, new_file, new_folder, spread
 
 END_ID = 1
 DIRECTORY, SEEK, FOOTER = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
-KEPT = 500_000  # words that a worker remembers; then it starts anew
+KEPT = 1_300_000  # words that a worker remembers (about 250 MB); then it starts anew
 
 
 class Writer:
