@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import bpe, lattice, mixing, pii, quality, simhash, sketch, tokens, toxicity, warczip
+from quarry.llm import bpe, lattice, mixing, pii, quality, simhash, sketch, tokens, toxicity, turns, warczip
 from quarry.llm.common import Scratch, table
 
 QUERIES: dict = {}
@@ -82,3 +82,9 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_embedding_near_dedup")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lattice.near_duplicates(table(spark, sf_dir, "embeddings"), Scratch(spark, "op9"))
+
+
+@query("op13_conversation_repair")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = turns.damage(table(spark, sf_dir, "conversations"))
+    return turns.digests(rows, turns.reports(rows))
