@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import bpe, lattice, mixing, pii, quality, simhash, sketch, tokens, toxicity, turns, warczip
+from quarry.llm import align, bpe, lattice, mixing, pii, quality, simhash, sketch, tokens, toxicity, turns, warczip
 from quarry.llm.common import Scratch, table
 
 QUERIES: dict = {}
@@ -88,3 +88,9 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = turns.damage(table(spark, sf_dir, "conversations"))
     return turns.digests(rows, turns.reports(rows))
+
+
+@query("op12_tokenizer_alignment")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a, b = (public_tokenizers.path(n) for n in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return align.alignments(table(spark, sf_dir, "documents"), a, b, Scratch(spark, "op12"))
