@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import align, bpe, lattice, mixing, pii, quality, simhash, sketch, tokens, toxicity, turns, warczip
+from quarry.llm import align, bpe, hnsw, lattice, mixing, pii, quality, simhash, sketch, tokens, toxicity, turns, warczip
 from quarry.llm.common import Scratch, table
 
 QUERIES: dict = {}
@@ -94,3 +94,9 @@ def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     a, b = (public_tokenizers.path(n) for n in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
     return align.alignments(table(spark, sf_dir, "documents"), a, b, Scratch(spark, "op12"))
+
+
+@query("op11_nearest_neighbours")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    return hnsw.nearest(rows, rows.where("vec_id % 20 = 0"), Scratch(spark, "op11"))
