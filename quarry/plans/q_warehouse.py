@@ -186,7 +186,7 @@ def q26_average_per_day(spark: SparkSession, sf: str) -> DataFrame:
 SPLIT_TS = "2024-01-16 00:00:00"
 
 
-def _event_changes(events: DataFrame) -> DataFrame:
+def event_changes(events: DataFrame) -> DataFrame:
     sets = F.when(F.col("event_type") == "click", F.array(F.lit("value"))).otherwise(
         F.array(F.lit("event_type"), F.lit("value"))
     )
@@ -199,23 +199,23 @@ def _event_changes(events: DataFrame) -> DataFrame:
     )
 
 
-@query(
-    "q35_upsert",
-    """
+UPSERT_SQL = """
     WITH ranked AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events),
          typed AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn
                    FROM events WHERE event_type <> 'click')
     SELECT r.user_id, t.event_type, r.value
     FROM ranked r LEFT JOIN typed t ON r.user_id = t.user_id AND t.rn = 1
     WHERE r.rn = 1
-    """,
-)
+    """
+
+
+@query("q35_upsert", UPSERT_SQL)
 def q35_upsert(spark: SparkSession, sf: str) -> DataFrame:
     """State after the first half of the month, then the second half applied
     as an upsert: equal to applying all changes at once."""
     e = table(spark, sf, "events", ["user_id", "event_type", "value", "ts", "event_id"])
-    first = _event_changes(e.where(F.col("ts") < F.lit(SPLIT_TS).cast("timestamp_ntz")))
-    second = _event_changes(e.where(F.col("ts") >= F.lit(SPLIT_TS).cast("timestamp_ntz")))
+    first = event_changes(e.where(F.col("ts") < F.lit(SPLIT_TS).cast("timestamp_ntz")))
+    second = event_changes(e.where(F.col("ts") >= F.lit(SPLIT_TS).cast("timestamp_ntz")))
     empty = spark.createDataFrame([], first.select("user_id", "event_type", "value").schema)
     base = upsert(empty, first, "user_id", ["event_type", "value"])
     return upsert(base, second, "user_id", ["event_type", "value"])

@@ -103,7 +103,9 @@ class _Reader:
                 out.append(Run(r["file"], r["partition"], r["first"] + at - r["offset"], min(self.run, high - at), at))
         return out
 
-    def read(self, run: Run) -> Iterator[pa.RecordBatch]:
+    def read(self, run: Run | None) -> Iterator[pa.RecordBatch]:
+        if run is None:  # what Spark passes if there are no partitions
+            return
         system, path = transactions.locate(run.file)
         with system.open_input_file(path) as f:
             file = pq.ParquetFile(f)

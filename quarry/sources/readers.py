@@ -67,8 +67,11 @@ def read_table(
     ``jdbc``, a wide-column connector ...), with a column subset.
 
     The connector jar must be on the classpath for non-file formats; the
-    column subset is pushed into the scan.
+    column subset is pushed into the scan, for a source that Spark cannot
+    prune by the option ``columns``.
     """
+    if columns:
+        options = {**options, "columns": ",".join(columns)}
     df = spark.read.format(fmt).options(**options).load()
     return df.select(*columns) if columns else df
 

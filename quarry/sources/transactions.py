@@ -1,9 +1,11 @@
-"""Numbered manifest files in a folder of the shared store: entry n exists once.
+"""Numbered manifest files in a folder of the shared store.
 
 A source that is not files of Spark's own needs to say which of its files
-count. Whoever adds to it writes the next number; creation fails if another has
-written that number, so two writers never share one. Driver and data-source
-processes both read the entries through Arrow's file systems.
+count. ``add`` writes a given number and fails if another writer has written it
+(for entries that build on the one before); ``append`` writes the next number
+under a name of its own (for entries in any order, by a data-source process,
+which has no session). Entries appear whole or not at all. Driver and data-source
+processes both read them through Arrow's file systems.
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ def entries(folder: str, after: int = 0) -> list[tuple[int, dict]]:
     """(number, entry) of all entries above ``after``, in order."""
     system, path = locate(folder)
     infos = system.get_file_info(fs.FileSelector(path, allow_not_found=True))
-    found = sorted((int(i.base_name[:-5]), i.path) for i in infos if i.base_name.endswith(".json"))
+    found = sorted((int(i.base_name[:8]), i.path) for i in infos if i.base_name.endswith(".json"))
     out = []
     for n, p in found:
         if n > after:
@@ -32,10 +34,7 @@ def entries(folder: str, after: int = 0) -> list[tuple[int, dict]]:
 
 
 def add(spark, folder: str, number: int, entry: dict) -> None:
-    """Write entry ``number`` whole or not at all; raises if it exists."""
-    if spark is None:
-        _add_here(folder, number, entry)
-        return
+    """Write entry ``number``; raises if it exists."""
     hadoop = spark._jvm.org.apache.hadoop.fs
     target = hadoop.Path(f"{folder}/{number:08d}.json")
     system = target.getFileSystem(spark._jsc.hadoopConfiguration())
@@ -49,14 +48,12 @@ def add(spark, folder: str, number: int, entry: dict) -> None:
         raise FileExistsError(f"{target.toString()} was written by another writer")
 
 
-def _add_here(folder: str, number: int, entry: dict) -> None:
-    """The same from a data-source process, which has no session."""
+def append(folder: str, entry: dict) -> None:
+    """Write the next entry; two that are written at once both count."""
     system, path = locate(folder)
     system.create_dir(path, recursive=True)
-    target = f"{path}/{number:08d}.json"
-    if system.get_file_info(target).type != fs.FileType.NotFound:
-        raise FileExistsError(f"{target} was written by another writer")
-    temporary = f"{path}/.{uuid.uuid4().hex}.tmp"
-    with system.open_output_stream(temporary) as f:
+    number = max((n for n, _ in entries(folder)), default=0) + 1
+    name = uuid.uuid4().hex
+    with system.open_output_stream(f"{path}/.{name}.tmp") as f:
         f.write(json.dumps(entry).encode())
-    system.move(temporary, target)
+    system.move(f"{path}/.{name}.tmp", f"{path}/{number:08d}-{name}.json")
