@@ -33,6 +33,21 @@ def _best(passes: list[DataFrame]) -> DataFrame:
     return best.select("node", "b.dist", "b.prev", "b.hops")
 
 
+def _improved(frontier: DataFrame, e: DataFrame, known: DataFrame) -> DataFrame:
+    """Neighbours of the frontier that are new or strictly shorter than known,
+    each with its shortest candidate and, on a tie, the smallest predecessor."""
+    cand = frontier.join(e, frontier["node"] == e["src"]).select(
+        e["dst"].alias("node"),
+        (frontier["dist"] + e["weight"]).alias("dist"),
+        frontier["node"].alias("prev"),
+        (frontier["hops"] + 1).alias("hops"),
+    )
+    best = cand.groupBy("node").agg(F.min(F.struct("dist", "prev", "hops")).alias("b"))
+    better = best.join(known.select("node", F.col("dist").alias("old")), "node", "left")
+    better = better.where(F.col("old").isNull() | (F.col("b.dist") < F.col("old")))
+    return better.select("node", "b.dist", "b.prev", "b.hops")
+
+
 def shortest_paths(
     edges: DataFrame,
     source: int,
@@ -69,16 +84,7 @@ def shortest_paths(
     i = 0
     while max_iters is None or i < max_iters:
         i += 1
-        cand = frontier.join(e, frontier["node"] == e["src"]).select(
-            e["dst"].alias("node"),
-            (frontier["dist"] + e["weight"]).alias("dist"),
-            frontier["node"].alias("prev"),
-            (frontier["hops"] + 1).alias("hops"),
-        )
-        best = cand.groupBy("node").agg(F.min(F.struct("dist", "prev", "hops")).alias("b"))
-        known = _best(passes).select("node", F.col("dist").alias("old"))
-        better = best.join(known, "node", "left").where(F.col("old").isNull() | (F.col("b.dist") < F.col("old")))
-        frontier = materialize(better.select("node", "b.dist", "b.prev", "b.hops"), f"sssp-pass-{i}")
+        frontier = materialize(_improved(frontier, e, _best(passes)), f"sssp-pass-{i}")
         if frontier.isEmpty():
             release(frontier)
             frontier = None
@@ -103,6 +109,59 @@ def shortest_paths(
     return out
 
 
+def _written(spark: SparkSession, path: str) -> bool:
+    """Whether a job wrote this folder to its end."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+
+
+def resumable_paths(edges: DataFrame, source: int, folder: str, max_iters: int | None = None, trace=None) -> DataFrame:
+    """``shortest_paths`` whose passes stay in numbered folders below ``folder``
+    (``edges``, ``pass-00000``, ``pass-00001``, ...), for searches that a driver may not
+    live to the end of.
+
+    A pass counts once Spark's committer has closed its folder. Called again
+    with the same folder, by this or another driver, the search goes on after
+    the last pass that counts; the edges are then those written first. A higher
+    ``max_iters`` goes on from a capped search. A pass without rows ends it.
+    Nothing is deleted; the caller owns the folder. ``trace`` is called for
+    the passes that this call makes (and for pass 0 if it begins the search).
+    """
+    spark: SparkSession = edges.sparkSession
+    rows = T.StructType([f for f in STATE.fields if f.name != "open"])
+
+    def path(i: int) -> str:
+        return f"{folder}/pass-{i:05d}"
+
+    def written(i: int) -> DataFrame:
+        return spark.read.schema(rows).parquet(path(i))
+
+    if not _written(spark, f"{folder}/edges"):
+        plain = edges.select(F.col("src").cast("bigint"), F.col("dst").cast("bigint"), F.col("weight").cast("double"))
+        plain.write.mode("overwrite").parquet(f"{folder}/edges")
+    e = spark.read.schema("src bigint, dst bigint, weight double").parquet(f"{folder}/edges")
+    done = 0
+    if not _written(spark, path(0)):
+        spark.createDataFrame([(int(source), 0.0, None, 0)], rows).write.mode("overwrite").parquet(path(0))
+        if trace is not None:
+            trace(0, written(0))
+    while _written(spark, path(done + 1)):
+        done += 1
+    ended = done > 0 and written(done).isEmpty()
+    while not ended and (max_iters is None or done < max_iters):
+        known = _best([spark.read.schema(rows).parquet(*[path(i) for i in range(done + 1)])])
+        _improved(written(done), e, known).write.mode("overwrite").parquet(path(done + 1))
+        done += 1
+        ended = written(done).isEmpty()
+        if trace is not None and not ended:
+            trace(done, _best([spark.read.schema(rows).parquet(*[path(i) for i in range(done + 1)])]))
+    out = _best([spark.read.schema(rows).parquet(*[path(i) for i in range(done + 1)])])
+    if ended:
+        return out.withColumn("open", F.lit(False))
+    last = written(done).select("node", "dist", F.lit(True).alias("open"))
+    return out.join(last, ["node", "dist"], "left").withColumn("open", F.coalesce("open", F.lit(False))).select("node", "dist", "prev", "hops", "open")
+
+
 def shortest_path(dist: DataFrame, target: int | DataFrame) -> DataFrame:
     """``(step, node)`` along the path from the source to ``target``
     (``step`` 0 = the source).  Empty when the target was not reached.

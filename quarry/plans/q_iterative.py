@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quarry.functions.text import parse_adjacency
-from quarry.operators.graph import shortest_path, shortest_paths
+from quarry.operators.graph import resumable_paths, shortest_path, shortest_paths
 from quarry.operators.logs import log_rows
-from quarry.operators.sinks import append_table, write_text
+from quarry.operators.sinks import append_table, iteration_writer, write_text
 from quarry.plans.registry import query
 from quarry.session import scratch_path
 from quarry.sources import read_lines, read_table, table
@@ -193,3 +193,67 @@ def q21_adjacency_text(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "adjacency")
     write_text(by.select(F.concat(F.col("l_partkey").cast("string"), colon, F.array_join("to", " ")).alias("value")), path)
     return parse_adjacency(read_lines(spark, path)).groupBy("src", "dst", "weight").agg(F.count(F.lit(1)).alias("n"))
+
+
+# --- G3, G5, K5: the capped search with a file set for each iteration -----------
+CAP = 6
+
+
+def capped_search(spark: SparkSession, sf: str, cap: int = CAP, trace: str | None = None) -> DataFrame:
+    """Half of the passes by one call, the others by a second one that finds the
+    first one's folders, as a new driver would."""
+    folder, edges = scratch_path(spark, "capped"), part_edges(spark, sf)
+    write = iteration_writer(trace, ["node", "dist", "prev"]) if trace else None
+    resumable_paths(edges, SOURCE_PART, folder, cap // 2, write)
+    return resumable_paths(edges, SOURCE_PART, folder, cap, write)
+
+
+_CAPPED_SQL = _GRAPH_SQL.replace("WHERE e.dst NOT IN", "WHERE r.dist < {cap} AND e.dst NOT IN")
+
+
+@query(
+    "q21_capped_search",
+    f"WITH RECURSIVE {_CAPPED_SQL.format(cap=CAP)} SELECT node, CAST(dist AS DOUBLE) AS dist, prev, dist = {CAP} AS open FROM prevs",
+)
+def q21_capped_search(spark: SparkSession, sf: str) -> DataFrame:
+    """At most six passes; nodes of the last one are open."""
+    return capped_search(spark, sf).select("node", "dist", "prev", "open")
+
+
+@query(
+    "q21_iteration_files",
+    f"""
+    WITH RECURSIVE {_CAPPED_SQL.format(cap=CAP)}
+    SELECT CAST(i AS INTEGER) AS iter, node, CAST(dist AS DOUBLE) AS dist, coalesce(prev, -1) AS prev
+    FROM prevs, generate_series(0, (SELECT max(dist) FROM prevs)) AS s(i) WHERE dist <= i
+    """,
+)
+def q21_iteration_files(spark: SparkSession, sf: str) -> DataFrame:
+    """The state after every pass as CSV files (no value: -1), read back with the
+    number of their folder."""
+    trace = scratch_path(spark, "iterations")
+    capped_search(spark, sf, trace=trace)
+    state = spark.read.schema("node bigint, dist double, prev bigint").csv(f"{trace}/iter-*")
+    number = F.regexp_extract(F.col("_metadata.file_path"), r"/iter-(\d+)/", 1).cast("int")
+    return state.select(number.alias("iter"), "node", "dist", "prev")
+
+
+@query(
+    "q22_capped_paths",
+    f"""
+    WITH RECURSIVE {_CAPPED_SQL.format(cap=2)},
+    tgt AS (SELECT min(node) AS node FROM best WHERE dist = (SELECT max(dist) FROM best)),
+    walk(node, prev, k) AS (SELECT p.node, p.prev, 0 FROM prevs p JOIN tgt ON p.node = tgt.node
+                            UNION ALL SELECT p.node, p.prev, w.k + 1 FROM walk w JOIN prevs p ON p.node = w.prev)
+    SELECT 'reached' AS target, CAST((SELECT max(k) FROM walk) - k AS BIGINT) AS step, node FROM walk
+    """,
+)
+def q22_capped_paths(spark: SparkSession, sf: str) -> DataFrame:
+    """Paths after two passes: to the farthest node reached, and to the smallest
+    part that is not reached, which has no rows."""
+    dist = capped_search(spark, sf, cap=2)
+    far = dist.agg(F.max(F.struct(F.col("dist"), (-F.col("node")).alias("neg"))).alias("m")).select((-F.col("m.neg")).alias("node"))
+    parts = table(spark, sf, "part", ["p_partkey"]).select(F.col("p_partkey").alias("node"))
+    none = parts.join(dist, "node", "left_anti").agg(F.min("node").alias("node")).where("node IS NOT NULL")
+    paths = [shortest_path(dist, t).select(F.lit(name).alias("target"), "step", "node") for name, t in (("reached", far), ("not reached", none))]
+    return paths[0].unionByName(paths[1])

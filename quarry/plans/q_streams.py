@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from quarry.plans.registry import query
 from quarry.session import scratch_path
 from quarry.sources import queue, read_stream, table
-from quarry.streaming.regression import message_text, start_fit
+from quarry.streaming.regression import fit_by_slice, message_text, start_fit
 
 
 def event_messages(spark: SparkSession, sf: str) -> DataFrame:
@@ -79,3 +79,26 @@ def q19_queue_messages(spark: SparkSession, sf: str) -> DataFrame:
         F.count(F.lit(1)).alias("messages"), F.count_distinct(position).alias("positions"),
         F.count(F.when(F.split_part(text, F.lit(" "), F.lit(1)) == F.decode("key", "UTF-8"), 1)).alias("parsed"),
         (F.min("partition") == F.max("partition")).alias("one_partition"), F.unix_micros(F.min("timestamp")).alias("first_us"))
+
+
+SLICES = 6
+
+
+@query(
+    "q19_stream_epochs",
+    """
+    SELECT CAST(s.i AS INTEGER) AS slice, CAST(regr_count(value, user_id) AS BIGINT) AS n,
+           round(regr_slope(value, user_id), 6) AS slope, round(regr_intercept(value, user_id), 6) AS intercept
+    FROM generate_series(0, 5) AS s(i) LEFT JOIN events ON hour(ts) // 4 <= s.i GROUP BY s.i
+    """,
+)
+def q19_stream_epochs(spark: SparkSession, sf: str) -> DataFrame:
+    """Events arriving in six slices of the day: a trigger takes two files, the
+    query stops after the third slice and another one goes on."""
+    e = table(spark, sf, "events", ["ts", "user_id", "value"])
+    line = F.concat_ws(" ", F.col("user_id").cast("string"), F.col("value").cast("string")).alias("value")
+    slices = [e.where(F.floor(F.hour("ts") / 4) == k).select(line).repartition(3) for k in range(SLICES)]
+    folder, state, out = (scratch_path(spark, f"q19_{n}") for n in ("slices", "slices_state", "slices_fit"))
+    spark.createDataFrame([], "value string").write.text(folder)
+    fits = fit_by_slice(slices, folder, state, out, files_per_trigger=2, stop_after={2})
+    return fits.select("slice", "n", F.round("slope", 6).alias("slope"), F.round("intercept", 6).alias("intercept"))
