@@ -59,6 +59,16 @@ def tokens(text: Column | str, keep_empty: bool = False, unicode_space: bool = F
     return F.filter(parts, lambda w: w != F.lit(""))
 
 
+def counted(words: Column) -> Column:
+    """The distinct elements of an array of words with their counts, as an array
+    of (word, n). Sorted runs, so n log n in a line's words; name the array as a
+    column first (``evaluate_once``), or it is computed several times."""
+    first = F.filter(F.sequence(F.lit(0), F.size(words) - 1), lambda i: (i == 0) | (F.get(words, i) != F.get(words, i - 1)))
+    first = F.when(F.size(words) > 0, first).otherwise(F.array().cast("array<int>"))
+    ends = F.slice(F.concat(first, F.array(F.size(words))), 2, F.greatest(F.size(first), F.lit(0)))
+    return F.zip_with(first, ends, lambda a, b: F.struct(F.get(words, a).alias("word"), (b - a).cast("bigint").alias("n")))
+
+
 def number_tokens(text: Column | str) -> Column:
     """Numeric tokens of a text, as an array of doubles."""
     col = F.col(text) if isinstance(text, str) else text

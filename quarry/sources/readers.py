@@ -1,7 +1,8 @@
-"""Readers.  Every reader takes an explicit schema; none infers one."""
+"""Readers.  All but ``read_json_inferred`` take an explicit schema."""
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -57,6 +58,44 @@ def read_json(spark: SparkSession, path: str | Sequence[str], schema: T.StructTy
     return spark.read.schema(schema).option("mode", "PERMISSIVE").json(path)
 
 
+def _inferred(kind: T.DataType) -> T.DataType:
+    """A variant's type as a column: what differs between rows becomes text."""
+    if isinstance(kind, T.StructType):
+        return T.StructType([T.StructField(f.name, _inferred(f.dataType), True) for f in kind.fields])
+    if isinstance(kind, T.ArrayType):
+        return T.ArrayType(_inferred(kind.elementType), True)
+    if isinstance(kind, T.DecimalType):
+        return T.DoubleType() if kind.scale else T.DecimalType(kind.precision, 0)
+    return T.StringType() if isinstance(kind, (T.VariantType, T.NullType)) else kind
+
+
+def json_schema(lines: DataFrame, value: str = "value") -> T.StructType:
+    """The schema of JSON lines: all fields of all objects, each of the one type
+    that its values have. Integers and fractions together are doubles; other
+    differences, and fields that are always null, are text. Lines that are no
+    object do not count; none at all give no fields.
+
+    One aggregate over the parsed lines, merged in every task: only a schema
+    reaches the driver.
+    """
+    v = F.try_parse_json(F.col(value))
+    objects = lines.select(F.when(F.schema_of_variant(v).startswith("OBJECT<"), v).alias("v")).where(F.col("v").isNotNull())
+    found = objects.agg(F.schema_of_variant_agg("v")).first()[0]
+    if not found.startswith("OBJECT<"):
+        return T.StructType([])
+    names = re.split(r"(`(?:[^`]|``)*`)", found)  # quoted names stand at odd places
+    ddl = "".join(part if i % 2 else re.sub(r"\bOBJECT<", "STRUCT<", part) for i, part in enumerate(names))
+    if re.fullmatch(r"STRUCT<\s*>", ddl):
+        return T.StructType([])
+    return _inferred(T.StructType.fromDDL(f"root {ddl}")["root"].dataType)
+
+
+def read_json_inferred(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+    """JSON lines by the schema that they have: one pass infers it, one typed
+    read follows. Lines that are no object are rows of nulls."""
+    return read_json(spark, path, json_schema(spark.read.text(path)))
+
+
 def read_table(
     spark: SparkSession,
     fmt: str,
