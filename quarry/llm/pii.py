@@ -2,9 +2,10 @@
 
 One Aho-Corasick pass over a text finds its anchors: at-signs, plus signs,
 digits, schemes and identifier cues. Local parsers grow each anchor to the
-span it belongs to and validate that. The parsers move in one direction and
+span it belongs to and validate that. The parsers move in one direction. They
 never look again at characters of a span, or of a digit run, that they are
-through with, so the time is linear in the text.
+through with, and the run of characters that values or targets may have is
+walked once for all cues inside it (``Runs``), so the time is linear in the text.
 
 Kinds, in this order:
 
@@ -75,6 +76,7 @@ def find(text: str | None) -> list[tuple[str, int, int]]:
     found: dict[str, list] = {k: [] for k in KINDS}
     done = dict.fromkeys(KINDS, 0)  # end of each kind's last match
     ip_run = 0  # end of the last digit run tried as an address
+    values, targets = Runs(text, VALUE, "-_/+"), Runs(text, TARGET, ".:!?'")
     for last, (what, n) in anchors().iter(low):
         at = last - n + 1
         if what == "digit":
@@ -98,13 +100,13 @@ def find(text: str | None) -> list[tuple[str, int, int]]:
                 if span[1]:
                     found["phone"].append((at, span[0]))
         elif what == "scheme":
-            _add(found["address"], done, "address", _target(text, at, last + 1))
+            _add(found["address"], done, "address", _target(text, at, last + 1, targets))
         elif what == "login":
             _add(found["address"], done, "address", _login(text, last + 1))
         elif what == "key":
             _add(found["account"], done, "account", _access_key(text, at))
         else:
-            _add(found["account"], done, "account", _value(text, at, last + 1))
+            _add(found["account"], done, "account", _value(text, at, last + 1, values))
     return [(k, a, b) for k in KINDS for a, b in found[k]]
 
 
@@ -122,6 +124,24 @@ def _run(text: str, at: int, chars: frozenset) -> int:
     return at
 
 
+class Runs:
+    """Runs of ``chars``; the last one walked is remembered, with its end before
+    a tail of ``tail`` characters."""
+
+    def __init__(self, text: str, chars: frozenset, tail: str):
+        self.text, self.chars, self.tail = text, chars, tail
+        self.start = self.stop = self.kept = 0
+
+    def ends(self, at: int) -> tuple[int, int]:
+        """End of the run from ``at``, and without its tail."""
+        if not self.start <= at < self.stop:
+            self.start, self.stop = at, _run(self.text, at, self.chars)
+            self.kept = self.stop
+            while self.kept > at and self.text[self.kept - 1] in self.tail:
+                self.kept -= 1
+        return self.stop, max(self.kept, at)
+
+
 def _email(text: str, at: int, floor: int) -> tuple[int, int] | None:
     start = at
     while start > floor and text[start - 1] in LOCAL:
@@ -187,7 +207,7 @@ def _word_starts(text: str, at: int) -> bool:
     return at == 0 or not (text[at - 1].isalnum() or text[at - 1] == "_")
 
 
-def _value(text: str, at: int, end: int) -> tuple[int, int] | None:
+def _value(text: str, at: int, end: int, runs: Runs) -> tuple[int, int] | None:
     """The value after a cue: a few filler words, a separator, then the value."""
     if at and text[at - 1].isalpha():
         return None
@@ -201,11 +221,10 @@ def _value(text: str, at: int, end: int) -> tuple[int, int] | None:
         start += 1
     if not any(c in ":=#" for c in text[here:start]) and not (here > end and start > here):
         return None
-    stop = _run(text, start, VALUE)
-    while text[start:stop].isalnum() and stop + 4 < len(text) and text[stop] == " " and stop - start < 42 and _run(text, stop + 1, DIGIT) == stop + 5:
-        stop += 5  # groups of four digits, as account numbers are printed
-    while stop > start and text[stop - 1] in "-_/+":
-        stop -= 1
+    stop, kept = runs.ends(start)
+    if stop - start < 42 and stop + 4 < len(text) and text[stop] == " " and text[start:stop].isalnum() and _run(text, stop + 1, DIGIT) == stop + 5:
+        kept = stop + 5  # a group of four digits more, as account numbers are printed
+    stop = kept
     digits = sum(c in DIGIT for c in text[start: min(stop, start + 64)])
     return (start, stop) if stop - start >= MIN_VALUE and digits >= MIN_DIGITS else None
 
@@ -217,11 +236,11 @@ def _access_key(text: str, at: int) -> tuple[int, int] | None:
     return (at, at + 20) if ok and (at + 20 == len(text) or not text[at + 20].isalnum()) else None
 
 
-def _target(text: str, at: int, end: int) -> tuple[int, int] | None:
-    stop = _run(text, end, TARGET)
-    while stop > end and text[stop - 1] in ".:!?'":
-        stop -= 1
-    return (end, stop) if _word_starts(text, at) and stop - end >= 5 else None
+def _target(text: str, at: int, end: int, runs: Runs) -> tuple[int, int] | None:
+    if not _word_starts(text, at):
+        return None
+    _, stop = runs.ends(end)
+    return (end, stop) if stop - end >= 5 else None
 
 
 def _login(text: str, at: int) -> tuple[int, int] | None:

@@ -1,6 +1,7 @@
 import hashlib
 import re
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -73,6 +74,30 @@ def test_long_texts_take_linear_time():
         assert time.process_time() - start < 5, t
 
 
+def test_cues_in_one_run_take_linear_time():
+    import time
+
+    for t in ["pwd=", "token=", "mailto:", "sip:a", "secret=1", "password=--", "://a:b@", "token=12 1234 "]:
+        start = time.process_time()
+        pii.find(t * (2**20 // len(t)))
+        assert time.process_time() - start < 5, t
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from(["pwd=", "token=", "mailto:", "a1", "12", " ", "1234", "-", "/", ".", "@b", "é", "://", "iban: ", "no "]), max_size=20))
+def test_remembered_runs_change_no_span(parts):
+    class Forgetful(pii.Runs):
+        def ends(self, at):
+            self.start = self.stop = 0
+            return super().ends(at)
+
+    text = "".join(parts)
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(pii, "Runs", Forgetful)
+        want = pii.find(text)
+    assert pii.find(text) == want
+
+
 def test_table(spark):
     rows = [(1, "mail a@b.cd 1.2.3.4"), (2, None), (3, ""), (None, "a@b.cd"), (1, "mail a@b.cd 1.2.3.4"), (4, "é" * 100_000 + "a@b.cd")]
     docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "7 as other")
