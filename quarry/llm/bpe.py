@@ -6,12 +6,18 @@ its length bucket. In each round every row merges its leftmost pair of minimum
 rank: one ``argmin`` a row, one shift that closes the gap. Ranks of pairs come
 from an open-addressing hash table held in two arrays. Rows without a pair
 left drop out; the matrix is one column narrower after each round.
+
+A piece wider than ``LONG`` is a square matrix by itself: its rows are blocks of
+places, each with its least rank. A round merges the leftmost least pair of all
+rows and looks again only at the rows it touched; instead of closing the gap,
+places are linked to their neighbours. A round thus costs as much as one row.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
+import math
 from functools import lru_cache
 
 import numpy as np
@@ -21,9 +27,10 @@ from pyspark.sql import DataFrame
 from quarry.llm.common import map_texts
 
 NONE = np.int32(2**31 - 1)
-LONG = 512  # wider rows are merged one by one, in place
+LONG = 512  # bytes of a piece that shares its matrix with others
 CELLS = 1 << 20  # of a matrix
-KEPT = 400_000  # pieces that a worker remembers; then it starts anew
+KEPT = 96 << 20  # bytes that the pieces of a worker take, about; then it starts anew
+ENTRY = 190  # of which for a piece, beside its own and its ids' bytes
 
 
 class PairTable:
@@ -49,6 +56,16 @@ class PairTable:
     def _slot(self, key: np.ndarray) -> np.ndarray:
         return ((key.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
 
+    def one(self, left: int, right: int) -> int:
+        """Merged id of one pair."""
+        key = left << 32 | right
+        slot = (key * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF) >> int(self.shift)
+        while (there := int(self.keys[slot])) != key:
+            if there < 0:
+                return int(NONE)
+            slot = slot + 1 & self.mask
+        return int(self.values[slot])
+
     def get(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Merged ids; NONE where the pair is no token (or an id is padding, -1)."""
         shape = left.shape
@@ -80,6 +97,7 @@ class Codec:
         pairs = [(ranks[t[:k]], ranks[t[k:]], r) for t, r in ranks.items() for k in range(1, len(t)) if t[:k] in ranks and t[k:] in ranks]
         self.pairs = PairTable(*np.array(pairs, np.int64).reshape(-1, 3).T)
         self.known: dict[str, bytes] = {}
+        self.size = 0
 
     def pieces(self, text: str) -> list[str]:
         return self.pattern.findall(text)
@@ -87,12 +105,13 @@ class Codec:
     def encode_batch(self, texts: list) -> list[bytes]:
         """Each text's ids as little-endian unsigned 32-bit integers. None is the empty text."""
         cut = [self.pieces(t or "") for t in texts]
-        if len(self.known) > KEPT:
-            self.known.clear()
+        if self.size > KEPT:
+            self.known, self.size = {}, 0
         known = self.known
         new = [p for p in set().union(*cut) if p not in known] if cut else []
         for p, ids in zip(new, self.encode_pieces([p.encode("utf-8", "surrogatepass") for p in new])):
             known[p] = ids
+            self.size += ENTRY + len(p) + len(ids)
         return [b"".join(map(known.__getitem__, c)) for c in cut]
 
     def encode_pieces(self, pieces: list[bytes]) -> list[bytes]:
@@ -154,22 +173,31 @@ class Codec:
             rank[k, j[k] - 1] = self.pairs.get(ids[k, j[k] - 1], ids[k, j[k]])
 
     def _merge_long(self, raw: np.ndarray) -> bytes:
+        n = len(raw)
+        width = max(LONG, math.isqrt(n))
         ids = self.byte[raw]
-        rank = self.pairs.get(ids[:-1], ids[1:])
-        n = len(ids)
-        while n > 1:
-            j = int(rank[: n - 1].argmin())
-            best = rank[j]
+        rank = np.full(-(-n // width) * width, NONE, np.int32)
+        rank[: n - 1] = self.pairs.get(ids[:-1], ids[1:])
+        rows = rank.reshape(-1, width)
+        least = rows.min(axis=1)
+        after, before = np.arange(1, n + 1), np.arange(-1, n - 1)  # n and -1: none
+        while True:
+            block = int(least.argmin())
+            best = int(least[block])
             if best == NONE:
-                break
-            ids[j] = best
-            ids[j + 1: n - 1] = ids[j + 2: n].copy()
-            rank[j: n - 2] = rank[j + 1: n - 1].copy()
-            n -= 1
-            near = np.array([k for k in (j - 1, j) if 0 <= k < n - 1], np.int64)
-            if len(near):
-                rank[near] = self.pairs.get(ids[near], ids[near + 1])
-        return ids[:n].astype("<u4").tobytes()
+                return ids[ids >= 0].astype("<u4").tobytes()
+            j = block * width + int(rows[block].argmin())
+            gone = int(after[j])
+            right, left = int(after[gone]), int(before[j])
+            ids[j], ids[gone], after[j], rank[gone] = best, -1, right, NONE
+            rank[j] = NONE
+            if right < n:
+                before[right] = j
+                rank[j] = self.pairs.one(best, int(ids[right]))
+            if left >= 0:
+                rank[left] = self.pairs.one(int(ids[left]), best)
+            for touched in {block, gone // width, max(left, 0) // width}:
+                least[touched] = rows[touched].min()
 
     def decode(self, ids: bytes) -> bytes:
         return b"".join(map(self.tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))

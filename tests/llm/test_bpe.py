@@ -33,6 +33,19 @@ def test_long_pieces_ties_and_specials():
     assert [CODEC.decode(x).decode() for x in got] == texts
 
 
+def test_a_piece_of_a_megabyte_takes_seconds():
+    import random
+    import time
+
+    rng = random.Random(0)
+    for t in ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=n)) for n in (700, 5_000, 40_000)] + ["x" * 3001, "étéé" * 3000]:
+        assert ids(CODEC.encode_batch([t])[0]) == TRUE.encode_ordinary(t)
+    t = "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=1 << 20))
+    start = time.process_time()
+    assert CODEC.decode(CODEC.encode_batch([t])[0]).decode() == t
+    assert time.process_time() - start < 40
+
+
 def test_forgetting_pieces_changes_nothing(monkeypatch):
     monkeypatch.setattr(bpe, "KEPT", 3)
     for t in ["one two three four five", "six two one", ""]:
