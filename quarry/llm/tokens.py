@@ -38,7 +38,8 @@ from quarry.llm.store import locate, new_file, new_folder, spread
 
 END_ID = 1
 DIRECTORY, SEEK, FOOTER = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
-KEPT = 1_300_000  # words that a worker remembers (about 250 MB); then it starts anew
+KEPT = 256 << 20  # bytes that the words of a worker take, about; then it starts anew
+ENTRY = 190  # of which for a word, beside its own and its ids' bytes
 
 
 class Writer:
@@ -132,20 +133,37 @@ class WordEncoder:
     once. A-Z are lowered first, as the tokenizer does, unless a mark follows
     one (it could compose with the lowered letter). A word's full stops and
     commas at the end, after a letter, are a piece of their own.
+
+    The strings of special tokens stand for those tokens, as by the library's
+    defaults: they are looked for in the text as it is, before letters are
+    lowered, so that an upper-case look-alike is ordinary text; what lies
+    between them is encoded by itself.
     """
 
     def __init__(self, path: str):
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True  # their strings are ordinary text
-        self.known: dict[bytes, bytes] = {}
+        self.library.encode_special_tokens = True  # cut out before; the library sees look-alikes only
+        special = {t.content: i for i, t in self.library.get_added_tokens_decoder().items()}
+        self.special = re.compile("|".join(map(re.escape, sorted(special, key=len, reverse=True))) or r"(?!)")
+        self.fixed = {b" " + t.encode(): np.array([i], "<u4").tobytes() for t, i in special.items()}  # no word begins with a blank
+        self.known: dict[bytes, bytes] = dict(self.fixed)
+        self.size = 0
+
+    def _words(self, text: str) -> list[bytes]:
+        raw = text.encode("utf-8", "surrogatepass")
+        return (raw.lower() if raw.isascii() or not MARKED.search(text) else raw).split()
+
+    def _cut(self, text: str) -> list[bytes]:
+        words, at = [], 0
+        for m in self.special.finditer(text):
+            words += [*self._words(text[at: m.start()]), b" " + m[0].encode()]
+            at = m.end()
+        return words + self._words(text[at:])
 
     def encode_batch(self, texts: list) -> list[bytes]:
-        cut = []
-        for t in texts:
-            raw = (t or "").encode("utf-8", "surrogatepass")
-            cut.append((raw.lower() if raw.isascii() or not MARKED.search(t) else raw).split())
-        if len(self.known) > KEPT:
-            self.known.clear()
+        cut = [self._cut(t) if t else [] for t in texts]
+        if self.size > KEPT:
+            self.known, self.size = dict(self.fixed), 0
         known = self.known
         new = set().union(*cut).difference(known) if cut else set()
         bare = {w: STOPS.fullmatch(w) for w in new}
@@ -155,9 +173,11 @@ class WordEncoder:
             part = ask[i: i + (1 << 15)]
             for w, e in zip(part, self.library.encode_batch_fast([w.decode("utf-8", "replace") for w in part], add_special_tokens=False)):
                 known[w] = np.array(e.ids, "<u4").tobytes()
+                self.size += ENTRY + len(w) + len(known[w])
         for w, m in bare.items():
             if m:
                 known[w] = known[m[1]] + known[m[2]]
+                self.size += ENTRY + len(w) + len(known[w])
         return [b"".join(map(known.__getitem__, c)) for c in cut]
 
 

@@ -15,7 +15,6 @@ from quarry.llm.common import Scratch
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 TRUE = Tokenizer.from_file(PATH)
-TRUE.encode_special_tokens = True
 ENCODER = tokens.encoder(PATH)
 
 
@@ -24,13 +23,14 @@ def truth(t):
 
 
 @settings(max_examples=300, deadline=None)
-@given(st.lists(st.one_of(st.text(max_size=60), st.text(alphabet="AaHhḴ́̊İΣς.,'s  \t é1", max_size=30)), max_size=6))
+@given(st.lists(st.one_of(st.text(max_size=60), st.lists(st.sampled_from(["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "a", "É", "\u0301", " ", "'s", "."]), max_size=8).map("".join), st.text(alphabet="AaHhḴ́̊İΣς.,'s  \t é1", max_size=30)), max_size=6))
 def test_words_encode_as_whole_texts_do(texts):
     assert [np.frombuffer(x, "<u4").tolist() for x in ENCODER.encode_batch(texts)] == [truth(t) for t in texts]
 
 
 def test_special_strings_and_long_words():
-    texts = ["<|endoftext|> a<|startoftext|>b", "x" * 5000, "...,, a., B.,. 'S it's. H̱. don't,", "", "Ångström É. ﬁ①"]
+    assert truth("<|endoftext|>") == [49407] != truth("<|ENDOFTEXT|>")
+    texts = ["<|endoftext|>", "<|ENDOFTEXT|> x", "A<|endoftext|><|startoftext|>É.<|endoftext", " <|EndOfText|>, <|endoftext|>.\u0301 s", "<|endoftext|> a<|startoftext|>b", "x" * 5000, "...,, a., B.,. 'S it's. H̱. don't,", "", "Ångström É. ﬁ①"]
     assert [np.frombuffer(x, "<u4").tolist() for x in ENCODER.encode_batch(texts)] == [truth(t) for t in texts]
 
 
