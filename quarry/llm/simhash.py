@@ -3,24 +3,26 @@
 Fingerprints: a 64-bit majority vote over the XXH64 of all 3-word shingles.
 Two fingerprints link if they differ in at most 2 bits.
 
-Search. A fingerprint has four 16-bit blocks. Two fingerprints at distance 2
-or less agree in two of the four, so each distinct one is filed six times,
-under every pair of blocks: the top nodes of the index, masked bit patterns
-that all fingerprints below share. A top node above ``SPLIT`` members is split
-the same way by pairs of 8-bit blocks of its other 32 bits, which leaves 16
-free bits, so no group can exceed 65,536 fingerprints, whatever the corpus.
-Within a group the fingerprints are sorted by Gray rank; runs of ``FAN`` are
-factored into nodes that hold the bits on which the run agrees beyond those
-of the node above. A search goes down level by level, adds up the differences
-and drops a whole run once they exceed the distance.
-
-All of it is exact: no candidate is capped. A group gives back a spanning
-forest of its links, never its pairs.
+Search. All distinct fingerprints are sorted by their rank in the reflected Gray
+sequence and cut into ranges, one a task. Upper nodes of the index hold the bits
+on which all fingerprints below agree, factored level by level: a node keeps
+only what it adds to the node above. The topmost levels stand over the ranges;
+they are a small table (two words a range) that every task has. A fingerprint
+goes down them, adding up its differences, and is sent to each range behind its
+own in which they do not exceed the distance. There it goes on down the levels
+over the fingerprints, ``FAN`` below each node, and whole groups are dropped as
+soon as the sum exceeds the distance. At the bottom the sum is the distance.
+
+All of it is exact at any distance: no candidate is capped, and there is no
+other path for small or large groups. The fingerprints are distinct, so ranges
+are even. For 2^p ranges a fingerprint is sent to about p * p / 4 of them at
+distance 2, as a number of eight bytes; ``ranges`` keeps p small. A range gives
+back a spanning forest of its links and, for each fingerprint sent to it, one
+link to each component it touches, never its pairs.
 """
 
 from __future__ import annotations
 
-import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,9 +34,9 @@ from quarry.llm.common import Scratch, map_texts, shingle_hashes, text_of, words
 from quarry.llm.components import connected_components, joined
 
 WORDS, BITS = 3, 2
-SPLIT = 1024
 FAN = 8
-PAIRS = list(itertools.combinations(range(4), 2))
+MOST, LEAST, SPREAD = 1 << 20, 1 << 13, 256  # fingerprints of a range, and ranges wanted for the sake of parallel tasks
+BLOCK = 512  # fingerprints that go down the index together
 
 
 def fingerprint(text: str | None, words: int = WORDS) -> int:
@@ -62,22 +64,6 @@ def hex_of(fp: Column) -> Column:
     return F.lpad(F.lower(F.hex(fp)), 16, "0")
 
 
-def _block(code: Column, i: int, bits: int) -> Column:
-    """The i-th block from the top of the low ``4 * bits`` bits."""
-    return F.shiftrightunsigned(code, (3 - i) * bits).bitwiseAND((1 << bits) - 1)
-
-
-def _filed(code: Column, bits: int) -> Column:
-    """For each pair of blocks: pair number, the pair's bits, the other bits."""
-    out = []
-    for n, (i, j) in enumerate(PAIRS):
-        k, m = (x for x in range(4) if x not in (i, j))
-        top = F.shiftleft(_block(code, i, bits), bits).bitwiseOR(_block(code, j, bits))
-        rest = F.shiftleft(_block(code, k, bits), bits).bitwiseOR(_block(code, m, bits))
-        out.append(F.struct(F.lit(n).cast("long").alias("pair"), top.alias("top"), rest.alias("rest")))
-    return F.array(*out)
-
-
 def _gray_rank(code: Column, bits: int) -> Column:
     """Position of ``code`` in the reflected Gray sequence."""
     shift = 1
@@ -87,112 +73,135 @@ def _gray_rank(code: Column, bits: int) -> Column:
     return code
 
 
+def ranges(n: int, partitions: int) -> int:
+    """Ranges for n fingerprints: of at most ``MOST`` each; more, up to ``SPREAD``
+    or the partitions, as long as a range has ``LEAST``."""
+    return max(1, -(-n // MOST), min(partitions, SPREAD, -(-n // LEAST)))
+
+
+class Index:
+    """Levels from the top, each (pattern, mask): the bits a node adds to those
+    its parent shares. The lowest level are the given patterns."""
+
+    def __init__(self, pattern: np.ndarray, mask: np.ndarray):
+        shared = [(pattern, mask)]
+        while len(shared[-1][0]) > 1:
+            pattern, mask = shared[-1]
+            at = np.arange(0, len(pattern), FAN)
+            both, any_ = np.bitwise_and.reduceat(pattern, at), np.bitwise_or.reduceat(pattern, at)
+            shared.append((both, np.bitwise_and.reduceat(mask, at) & ~(both ^ any_)))
+        shared.reverse()
+        self.levels = [shared[0]]
+        for (_, above), (pattern, mask) in zip(shared, shared[1:]):
+            self.levels.append((pattern, mask & ~np.repeat(above, FAN)[: len(mask)]))
+        self.visited = self.pruned = 0  # nodes looked at; patterns below those that were dropped
+
+    @classmethod
+    def of(cls, code: np.ndarray) -> Index:
+        return cls(code, np.full(len(code), ~np.uint64(0)))
+
+    def near(self, query: np.ndarray, bits: int, after: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """(position in ``query``, position of a pattern) where they differ in at
+        most ``bits`` of the pattern's bits; ``after``: patterns behind these only."""
+        depth = len(self.levels) - 1
+        n = len(self.levels[depth][0])
+        who, at = np.arange(len(query)), np.zeros(len(query), np.int64)
+        far = np.zeros(len(query), np.int64)
+        for k, (pattern, mask) in enumerate(self.levels):
+            span = FAN ** (depth - k)
+            if k:
+                at = (at[:, None] * FAN + np.arange(FAN)).ravel()
+                who, far = np.repeat(who, FAN), np.repeat(far, FAN)
+                there = at < len(pattern)
+                if after is not None:
+                    there &= (at + 1) * span - 1 > after[who]
+                at, who, far = at[there], who[there], far[there]
+            far = far + np.bitwise_count((query[who] ^ pattern[at]) & mask[at])
+            keep = far <= bits
+            self.visited += len(at)
+            self.pruned += int(np.minimum(span, n - at[~keep] * span).sum())
+            at, who, far = at[keep], who[keep], far[keep]
+        if after is not None:
+            keep = at > after[who]
+            at, who = at[keep], who[keep]
+        return who, at
+
+
 def links(reps: DataFrame, scratch: Scratch, bits: int = BITS) -> DataFrame:
-    """(a, b): a forest that joins all fingerprints of ``reps(fp)``, which are
-    distinct and not null, linked at ``bits`` (0 to 2) differing bits."""
-    if not 0 <= bits <= 2:
-        raise ValueError("the index files fingerprints for distances 0 to 2")
-    filed = reps.select("fp", F.explode(_filed(F.col("fp"), 16)).alias("x"))
-    filed = filed.select("fp", F.shiftleft(F.col("x.pair"), 32).bitwiseOR(F.col("x.top")).alias("node"), F.col("x.rest").alias("rest"))
-    large = scratch.write(filed.groupBy("node").count().where(F.col("count") > SPLIT).select("node", F.lit(True).alias("large")), "large-nodes")
-    filed = filed.join(large, "node", "left")
-    cold = filed.where("large is null").select("fp", F.shiftleft("node", 19).alias("node"), _gray_rank(F.col("rest"), 32).alias("rank"))
-    hot = filed.where("large").select("fp", "node", F.explode(_filed(F.col("rest"), 8)).alias("x"))
-    sub = F.shiftleft(F.col("x.pair") + 1, 16).bitwiseOR(F.col("x.top"))
-    hot = hot.select("fp", F.shiftleft("node", 19).bitwiseOR(sub).alias("node"), _gray_rank(F.col("x.rest"), 16).alias("rank"))
-    n = int(reps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    groups = cold.union(hot).repartition(n, "node").sortWithinPartitions("node", "rank").select("node", "fp")
+    """(a, b): links that join all fingerprints of ``reps(fp)``, which are distinct
+    and not null, linked at ``bits`` differing bits."""
+    spark = reps.sparkSession
+    n = ranges(reps.count(), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    rank = _gray_rank(F.col("fp"), 64).bitwiseXOR(F.lit(-1 << 63))  # ranks are unsigned, longs are not
+    dealt = reps.select("fp", rank.alias("rank")).repartitionByRange(n, "rank").sortWithinPartitions("rank")
+    dealt = scratch.write(dealt.select("fp", "rank", F.spark_partition_id().alias("part")), "ranges")
+    tops = dealt.groupBy("part").agg(F.expr("bit_and(fp)").alias("both"), F.expr("bit_or(fp)").alias("any")).orderBy("part").collect()  # a row a range
+    if not tops:
+        return spark.createDataFrame([], "a bigint, b bigint")
+    parts = np.array([r.part for r in tops])
+    both, any_ = (np.array([r[c] for r in tops], np.int64).view(np.uint64) for c in ("both", "any"))
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        top = Index(both, ~(both ^ any_))
+        for batch in batches:
+            code, own = np.asarray(batch.column(0)).view(np.uint64), np.asarray(batch.column(2))
+            place = np.searchsorted(parts, own)
+            yield _sent(own, np.zeros(len(own), np.int8), batch.column(1), batch.column(0))
+            for i in range(0, len(code), BLOCK):
+                who, at = top.near(code[i: i + BLOCK], bits, place[i: i + BLOCK])
+                some = pa.array(who + i)
+                yield _sent(parts[at], np.ones(len(at), np.int8), batch.column(1).take(some), batch.column(0).take(some))
+
+    sent = dealt.mapInArrow(send, "part int, visitor tinyint, rank bigint, fp bigint")
+    sent = sent.repartitionById(int(parts.max()) + 1, F.col("part")).sortWithinPartitions("visitor", "rank").select("visitor", "fp")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for node, code in _whole_groups(batches):
-            a, b = forest(node, code, bits)
-            if len(a):
-                yield pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], names=["a", "b"])
+        yield from _linked(((np.asarray(b.column(0)), np.asarray(b.column(1)).view(np.uint64)) for b in batches), bits)
+
+    return sent.mapInArrow(run, "a bigint, b bigint")
+
+
+def _sent(part: np.ndarray, visitor: np.ndarray, rank: pa.Array, fp: pa.Array) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), pa.array(visitor), rank, fp], names=["part", "visitor", "rank", "fp"])
+
+
+def _linked(batches: Iterator[tuple[np.ndarray, np.ndarray]], bits: int) -> Iterator[pa.RecordBatch]:
+    """Links of one range: its own fingerprints come first, then the visitors,
+    which are not held."""
+    own: list[np.ndarray] = []
+    index = code = label = None
 
-    return groups.mapInArrow(run, "a bigint, b bigint")
+    def pairs(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], names=["a", "b"])
 
+    def close() -> pa.RecordBatch:
+        nonlocal index, code, label
+        code = np.concatenate(own)
+        index, label = Index.of(code), np.arange(len(code))
+        for i in range(0, len(code), BLOCK):
+            query = np.arange(i, min(i + BLOCK, len(code)))
+            who, at = index.near(code[query], bits, query)
+            label = joined(label, query[who], at)
+        moved = np.flatnonzero(label != np.arange(len(code)))
+        return pairs(code[moved], code[label[moved]])
 
-def _whole_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Batches of (node, code), each node wholly in one of them."""
-    held: list[tuple[np.ndarray, np.ndarray]] = []
-    for batch in batches:
-        if not batch.num_rows:
+    for visitor, codes in batches:
+        first = int(np.searchsorted(visitor, 1))
+        if first:
+            own.append(codes[:first])
+        if first == len(codes):
             continue
-        node = np.asarray(batch.column(0), dtype=np.int64)
-        code = np.asarray(batch.column(1), dtype=np.int64).view(np.uint64)
-        cut = int(np.searchsorted(node, node[-1]))
-        if cut or (held and held[-1][0][-1] != node[0]):
-            out = [*held, (node[:cut], code[:cut])]
-            yield np.concatenate([x for x, _ in out]), np.concatenate([x for _, x in out])
-            held = []
-        held.append((node[cut:], code[cut:]))
-    if held:
-        yield np.concatenate([x for x, _ in held]), np.concatenate([x for _, x in held])
-
-
-def forest(node: np.ndarray, code: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links (code, root of its local component) within the nodes; rows come
-    sorted by node and Gray rank."""
-    n = len(node)
-    starts = np.flatnonzero(np.r_[True, node[1:] != node[:-1]])
-    sizes = np.diff(np.r_[starts, n])
-    leaf = np.repeat(sizes <= FAN * 2, sizes)
-    label = np.arange(n)
-    left, right = [], []
-    for d in range(1, min(FAN * 2, n)):  # a small node is one leaf: its members lie at most so far apart
-        i = np.flatnonzero(leaf[:-d] & (node[d:] == node[:-d]))
-        if not len(i):
-            break
-        i = i[np.bitwise_count(code[i] ^ code[i + d]) <= bits]
-        left.append(i)
-        right.append(i + d)
-    if left:
-        label = joined(label, np.concatenate(left), np.concatenate(right))
-    for s, size in zip(starts[sizes > FAN * 2].tolist(), sizes[sizes > FAN * 2].tolist()):
-        for i, j in search(code[s: s + size], bits):
-            label = joined(label, i + s, j + s)
-    moved = np.flatnonzero(label != np.arange(n))
-    return code[moved], code[label[moved]]
-
-
-def index_levels(code: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Levels from the top: per node the bits it shares and where it adds them
-    to those of its parent (pattern, residual mask)."""
-    both, any_ = code, code
-    shared = []
-    while True:
-        at = np.arange(0, len(both), FAN)
-        both, any_ = np.bitwise_and.reduceat(both, at), np.bitwise_or.reduceat(any_, at)
-        shared.append((both, ~(both ^ any_)))
-        if len(both) == 1:
-            break
-    shared.reverse()
-    levels = [shared[0]]
-    for (_, above), (pattern, mask) in zip(shared, shared[1:]):
-        levels.append((pattern, mask & ~np.repeat(above, FAN)[: len(mask)]))
-    levels.append((code, ~np.repeat(shared[-1][1], FAN)[: len(code)]))
-    return levels
-
-
-def search(code: np.ndarray, bits: int, block: int = 2048) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Positions i < j of codes that differ in at most ``bits`` bits."""
-    levels = index_levels(code)
-    n = len(code)
-    span = [FAN ** (len(levels) - 1 - k) for k in range(len(levels))]
-    for first in range(0, n, block):
-        query = np.arange(first, min(n, first + block))
-        at = np.zeros(len(query), np.int64)
-        far = np.bitwise_count((code[query] ^ levels[0][0][0]) & levels[0][1][0]).astype(np.int64)
-        for k in range(1, len(levels)):
-            pattern, mask = levels[k]
-            child = (at[:, None] * FAN + np.arange(FAN)).ravel()
-            query, far = np.repeat(query, FAN), np.repeat(far, FAN)
-            ok = (child < len(pattern)) & ((child + 1) * span[k] - 1 > query)
-            child, query, far = child[ok], query[ok], far[ok]
-            far = far + np.bitwise_count((code[query] ^ pattern[child]) & mask[child])
-            ok = far <= bits
-            at, query, far = child[ok], query[ok], far[ok]
-        yield query, at
+        if index is None:
+            yield close()
+        codes = codes[first:]
+        for i in range(0, len(codes), BLOCK):
+            query = codes[i: i + BLOCK]
+            who, at = index.near(query, bits)
+            if len(who):
+                one = np.unique(np.stack([who, label[at]]), axis=1)
+                yield pairs(query[one[0]], code[one[1]])
+    if index is None and own:
+        yield close()
 
 
 def components(docs: DataFrame, scratch: Scratch, doc_id: str = "doc_id", text: str = "text",
@@ -221,16 +230,18 @@ def components(docs: DataFrame, scratch: Scratch, doc_id: str = "doc_id", text:
 
 def dedup(docs: DataFrame, scratch: Scratch, words: int = WORDS, bits: int = BITS) -> DataFrame:
     """``docs`` with one row of each component: the smallest ``doc_id`` (null
-    last); of several rows with that id, the one of smallest text hash."""
-    key = F.xxhash64(text_of())
-    found = components(docs, scratch, words=words, bits=bits, extra=[key.alias("text_key")])
-    order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("text_key").alias("key"))
-    kept = found.groupBy("root").agg(F.min(order).alias("k")).select(F.col("k.id").alias("__id"), F.col("k.key").alias("__kept"))
+    last); of several rows with that id, the one of smallest text hash, then of
+    the smallest hash of all columns; of rows equal in all of them, one."""
+    text_key, row_key = F.xxhash64(text_of()), F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])
+    found = components(docs, scratch, words=words, bits=bits, extra=[text_key.alias("text_key"), row_key.alias("row_key")])
+    order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("text_key").alias("text"), F.col("row_key").alias("row"))
+    kept = found.groupBy("root").agg(F.min(order).alias("k")).select("k.id", "k.text", "k.row")
     kept = scratch.write(kept.distinct(), "kept")
-    same = (F.col("__key") == F.col("__kept")) & F.col("doc_id").eqNullSafe(F.col("__id"))
-    out = docs.withColumn("__key", key).join(kept, same, "left_semi")
-    twice = found.groupBy("doc_id", "text_key").count().where("count > 1").join(
-        kept, (F.col("text_key") == F.col("__kept")) & F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("kept_row"), F.col("doc_id").alias("its_id"), text_key.alias("its_text"), row_key.alias("its_row"))
+    same = F.col("its_id").eqNullSafe(F.col("id")) & (F.col("its_text") == F.col("text")) & (F.col("its_row") == F.col("row"))
+    out = rows.join(kept, same, "left_semi")
+    twice = found.groupBy("doc_id", "text_key", "row_key").count().where("count > 1")
+    twice = twice.join(kept, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("text_key") == F.col("text")) & (F.col("row_key") == F.col("row")), "left_semi")
     if not twice.isEmpty():  # rows repeated as a whole
-        out = out.dropDuplicates(["doc_id", "__key"])
-    return out.drop("__key")
+        out = out.dropDuplicates(["its_id", "its_text", "its_row"])
+    return out.select("kept_row.*")

@@ -2,6 +2,7 @@ import itertools
 import re
 
 import numpy as np
+import pytest
 import xxhash
 from pyspark.sql import functions as F
 
@@ -43,25 +44,64 @@ def test_fingerprint_matches_definition():
         assert simhash.fingerprint(t) == brute_fingerprint(t), t
 
 
-def test_search_finds_every_pair():
-    rng = np.random.default_rng(3)
-    base = rng.integers(0, 1 << 63, 4, dtype=np.uint64)
-    codes = set(rng.integers(0, 1 << 63, 300, dtype=np.uint64).tolist())
-    for b in base.tolist():
-        for _ in range(300):
-            codes.add(b ^ sum(1 << int(x) for x in rng.choice(64, rng.integers(0, 5), replace=False)))
+def in_gray_order(codes):
     code = np.array(sorted(codes), dtype=np.uint64)
     rank = code.copy()
     for s in (1, 2, 4, 8, 16, 32):
         rank ^= rank >> np.uint64(s)
-    code = code[np.argsort(rank)]
-    got = {(int(i), int(j)) for a, b in simhash.search(code, 2) for i, j in zip(a, b)}
-    want = {(i, j) for i in range(len(code)) for j in range(i + 1, len(code)) if int(np.bitwise_count(code[i] ^ code[j])) <= 2}
-    assert got == want
+    return code[np.argsort(rank)]
 
 
-def test_links_join_all_near_codes_also_in_split_nodes(spark, monkeypatch):
-    monkeypatch.setattr(simhash, "SPLIT", 8)
+@pytest.mark.parametrize("bits", [0, 2, 4])
+def test_index_finds_every_pair(bits):
+    rng = np.random.default_rng(3)
+    base = rng.integers(0, 1 << 63, 4, dtype=np.uint64)
+    codes = set(rng.integers(0, 1 << 63, 300, dtype=np.uint64).tolist())
+    for b in base.tolist():
+        for _ in range(300):
+            codes.add(b ^ sum(1 << int(x) for x in rng.choice(64, rng.integers(0, 5), replace=False)))
+    code = in_gray_order(codes)
+    every = np.arange(len(code))
+    who, at = simhash.Index.of(code).near(code, bits, every)
+    apart = np.bitwise_count(code[:, None] ^ code[None, :])
+    assert set(zip(who.tolist(), at.tolist())) == {(int(i), int(j)) for i, j in zip(*np.nonzero(np.triu(apart <= bits, 1)))}
+    who, at = simhash.Index.of(code).near(code[:50], bits)
+    assert set(zip(who.tolist(), at.tolist())) == {(int(i), int(j)) for i, j in zip(*np.nonzero(apart[:50] <= bits))}
+    one = simhash.Index.of(code[:1]).near(code[:3], 64)
+    assert one[0].tolist() == [0, 1, 2]
+
+
+def test_the_hierarchy_prunes_the_queries_own_rows(spark):
+    """What the registered query searches at sf0.1: few nodes are looked at, and
+    whole groups are dropped at every query."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    code = in_gray_order({r.fp & (1 << 64) - 1 for r in simhash.with_fingerprint(docs.select("doc_id", "text")).select("fp").distinct().collect()})
+    n = len(code)
+    index = simhash.Index.of(code)
+    found = 0
+    for i in range(0, n, simhash.BLOCK):
+        query = np.arange(i, min(i + simhash.BLOCK, n))
+        who, at = index.near(code[query], 2, query)
+        found += len(who)
+        want = np.bitwise_count(code[query][:, None] ^ code[None, :]) <= 2
+        assert set(zip((query[who]).tolist(), at.tolist())) == {(int(a + i), int(b)) for a, b in zip(*np.nonzero(want)) if b > a + i}
+    pairs = n * (n - 1) // 2
+    print(f"{n} fingerprints, {found} links, {index.visited} nodes visited, {index.pruned} of {pairs} pairs pruned by nodes")
+    assert n > 5000 and len(index.levels) >= 5 and found > 0
+    assert index.visited < 0.12 * pairs and index.pruned > 0.9 * pairs
+    cuts = np.array_split(code, 256)  # the levels over the ranges
+    both, any_ = (np.array([f.reduce(c) for c in cuts]) for f in (np.bitwise_and, np.bitwise_or))
+    who, _ = simhash.Index(both, ~(both ^ any_)).near(code, 2)
+    assert len(who) < 0.5 * 256 * n
+
+
+def test_ranges_follow_the_rows():
+    assert simhash.ranges(0, 200) == 1 and simhash.ranges(50_000, 200) == 7 and simhash.ranges(10**8, 2000) == 256 and simhash.ranges(10**10, 2000) == 9537
+
+
+def test_links_join_all_near_codes_over_many_ranges(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "MOST", 20)
+    monkeypatch.setattr(simhash, "BLOCK", 16)
     rng = np.random.default_rng(5)
     codes = set(rng.integers(-1 << 63, 1 << 63, 150, dtype=np.int64).tolist())
     for b in list(codes)[:3]:
