@@ -37,8 +37,8 @@ from tokenizers import Tokenizer
 
 from quarry.llm.common import Scratch, split_batch, text_of
 
-BLOCK = 8 << 20
-KEPT = 48 << 20  # bytes of words and ids, of which Python takes about four times as many
+BLOCK = 4 << 20
+KEPT = 96 << 20  # bytes that a worker's known words take, about
 SPACE = "▁"
 
 
@@ -178,7 +178,7 @@ class Encoder:
                 raw = text.encode()
                 fits = b"".join(map(self.text_a.__getitem__, one.ids)) == raw == b"".join(map(self.text_b.__getitem__, two))
                 known[w] = (np.array(one.ids, "<u4").tobytes(), np.array(two, "<u4").tobytes()) if fits else None
-                self.size += len(raw) + 8 * len(one.ids) + 64
+                self.size += 300 + len(raw) + 4 * (len(one.ids) + len(two))
         out = []
         for c in cut:
             found = list(map(known.__getitem__, c))
