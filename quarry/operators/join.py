@@ -7,6 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quarry.operators.common import as_list
 from quarry.session import materialize
@@ -14,9 +15,30 @@ from quarry.session import materialize
 MAX_BROADCAST_BYTES = 64 << 20
 
 
+ROW_BYTES = 32  # of a row in memory, beside its values
+
+
+def memory_size(written: DataFrame) -> int:
+    """About the bytes that the rows take in memory, by their number and the
+    measured width of their values (nested ones as JSON), whatever the files
+    compress them to."""
+    def width(f: T.StructField) -> Column:
+        col = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            return F.octet_length(col) + 16
+        if isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            return F.octet_length(F.to_json(F.struct(col))) + 16
+        return F.lit(16 if isinstance(f.dataType, T.DecimalType) else 8)
+
+    total = F.lit(ROW_BYTES)
+    for f in written.schema.fields:
+        total = total + F.coalesce(width(f), F.lit(8))
+    return int(written.agg(F.coalesce(F.sum(total.cast("bigint")), F.lit(0))).first()[0])
+
+
 def fits_broadcast(written: DataFrame, max_bytes: int) -> bool:
-    """Whether a table read from files is at most ``max_bytes`` in them."""
-    return int(str(written._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) <= max_bytes
+    """Whether a written table takes at most ``max_bytes`` in memory."""
+    return memory_size(written) <= max_bytes
 
 
 def join_small(
@@ -31,9 +53,10 @@ def join_small(
 
     ``auto``      -- no hint; AQE re-plans with measured sizes and broadcasts
                      only what is actually under the threshold.
-    ``broadcast`` -- the side is written to the shared folder, which gives its
-                     real size, and is broadcast if that is at most
-                     ``max_broadcast_bytes``; above, the choice is AQE's.
+    ``broadcast`` -- the side is written to the shared folder and measured there
+                     (rows and the width of their values), and broadcast if
+                     that is at most ``max_broadcast_bytes``; above, the choice
+                     is AQE's.
     ``merge``     -- force sort-merge (what auto-broadcast-off gives).
     """
     if strategy == "broadcast":

@@ -50,15 +50,22 @@ def hash_split(df: DataFrame, key: Sequence[str], train_fraction: float = 0.75,
     return df.where(bucket < cut), df.where(bucket >= cut)
 
 
-TRAIN_PARTITIONS = 32
+TRAIN_PARTITIONS, TRAIN_ROWS = 32, 250_000
 
 
-def for_training(df: DataFrame, key: Sequence[str], partitions: int = TRAIN_PARTITIONS) -> DataFrame:
-    """Training rows in a fixed number of partitions by a hash of the row key,
-    sorted by it.  Learners draw samples and add floats by partition, so this
-    makes the fitted model a matter of the rows alone, not of the cores or
-    the files.  ``partitions`` is a parameter of the model, to be raised with
-    the size of the training set."""
+def training_partitions(rows: int) -> int:
+    """Partitions for so many training rows: at most ``TRAIN_ROWS`` in one, and at
+    least ``TRAIN_PARTITIONS``. It follows from the rows alone."""
+    return max(TRAIN_PARTITIONS, -(-rows // TRAIN_ROWS))
+
+
+def for_training(df: DataFrame, key: Sequence[str], partitions: int | None = None) -> DataFrame:
+    """Training rows in a number of partitions that follows from their number, by
+    a hash of the row key, sorted by it.  Learners draw samples and add floats
+    by partition, so this makes the fitted model a matter of the rows alone, not
+    of the cores or the files.  Give ``partitions`` where the number is known:
+    otherwise the rows are counted first."""
+    partitions = partitions or training_partitions(df.count())
     return df.repartition(partitions, *key).sortWithinPartitions(*key)
 
 
@@ -149,11 +156,18 @@ class RgbToLab(Transformer, DefaultParamsReadable, DefaultParamsWritable):
         return dataset.withColumns({"labL": l_, "labA": a_, "labB": b_})
 
 
-def word_index(words: DataFrame, word: str = "word") -> list[str]:
+MAX_CLASSES = 10_000
+
+
+def word_index(words: DataFrame, word: str = "word", max_classes: int = MAX_CLASSES) -> list[str]:
     """All words in alphabetic order; a word's place is its label.  Taken from
     all rows, before any split, so that no part holds an unseen word.  The
-    list is on the driver: meant for a vocabulary of classes, not free text."""
-    return [r[0] for r in words.select(word).where(F.col(word).isNotNull()).distinct().orderBy(word).collect()]
+    list is on the driver and in the model: more than ``max_classes`` words are
+    refused, after reading that many and one."""
+    found = words.select(word).where(F.col(word).isNotNull()).distinct().limit(max_classes + 1).collect()
+    if len(found) > max_classes:
+        raise ValueError(f"more than {max_classes} distinct words are no classes")
+    return sorted(r[0] for r in found)
 
 
 def colour_classifier(words: list[str], space: str = "rgb", hidden: int = 30, iters: int = 100, seed: int = 42) -> Pipeline:

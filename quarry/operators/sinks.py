@@ -52,10 +52,19 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite", header: bool =
     df.write.mode(mode).option("header", header).csv(path)
 
 
+def write_ranged(df: DataFrame, path: str, folder: str, fmt: str = "text", mode: str = "errorifexists") -> None:
+    """One folder for each value of the column ``folder``. Tasks get ranges of it
+    (and of a hash of the row, so that a hot value is shared), so that a task
+    writes few folders and a folder has few files."""
+    rest = F.xxhash64(*[F.col(c) for c in df.columns])
+    df.repartitionByRange(folder, rest).write.mode(mode).partitionBy(folder).format(fmt).save(path)
+
+
 def name_files(spark, path: str, name) -> list[str]:
     """Rename the data files below ``path`` to ``name(folder, k)``, k counting
     a folder's files, and return the new paths.  For layouts whose file names
-    mean something; the driver renames, so for a bounded number of files."""
+    mean something; the driver renames, so write ranges of the folder's column
+    (``write_ranged``): then there are no more files than folders and tasks."""
     root = spark._jvm.org.apache.hadoop.fs.Path(path)
     fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
     out = []

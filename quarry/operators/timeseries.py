@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -34,7 +36,9 @@ def temperature_range(obs: DataFrame, high: str = "TMAX", low: str = "TMIN") ->
 
 
 def temperature_range_sql(spark: SparkSession, obs: DataFrame, view: str = "weather", high: str = "TMAX", low: str = "TMIN") -> DataFrame:
-    """``temperature_range`` written as SQL over temp views (same plan)."""
+    """``temperature_range`` written as SQL over temp views (same plan). The views
+    have names of this call and are dropped once the result is resolved."""
+    view = f"{view}_{uuid.uuid4().hex}"
     obs.createOrReplaceTempView(view)
     spark.sql(f"SELECT * FROM {view} WHERE qflag IS NULL OR qflag = ''").createOrReplaceTempView(f"{view}_good")
     spark.sql(
@@ -43,12 +47,15 @@ def temperature_range_sql(spark: SparkSession, obs: DataFrame, view: str = "weat
     spark.sql(
         f"SELECT date, station, value AS tmin FROM {view}_good WHERE observation = :low", {"low": low}
     ).createOrReplaceTempView(f"{view}_tmin")
-    return spark.sql(
+    out = spark.sql(
         f"""
         SELECT x.date, x.station, CAST((x.tmax - n.tmin) / 10.0 AS DOUBLE) AS range
         FROM {view}_tmax x JOIN {view}_tmin n ON x.date = n.date AND x.station = n.station
         """
     )
+    for name in (view, f"{view}_good", f"{view}_tmax", f"{view}_tmin"):
+        spark.catalog.dropTempView(name)
+    return out
 
 
 def paired_averages(

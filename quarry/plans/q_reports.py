@@ -4,6 +4,8 @@ all rows of a table, then read back."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -74,7 +76,7 @@ def q05_hours_of_files(spark: SparkSession, sf: str) -> DataFrame:
     of a line comes from the name of the file it is read from."""
     e = table(spark, sf, "events", ["ts", "user_id"])
     path = scratch_path(spark, "hour_files")
-    e.select(F.col("user_id").cast("string").alias("value"), F.date_format("ts", "HH").alias("hh")).write.partitionBy("hh").text(path)
+    K.write_ranged(e.select(F.col("user_id").cast("string").alias("value"), F.date_format("ts", "HH").alias("hh")), path, "hh")
     files = K.name_files(spark, path, lambda folder, k: f"pagecounts-20240101-{folder.removeprefix('hh=')}0000-{k}.txt")
     lines = read_lines(spark, files, with_file=True)
     hour = hour_from_file_name("file_name")
@@ -137,8 +139,11 @@ def q35_clustered_layout(spark: SparkSession, sf: str) -> DataFrame:
     "SELECT n_name, CAST(count(*) AS BIGINT) AS suppliers FROM supplier JOIN nation ON s_nationkey = n_nationkey GROUP BY n_name",
 )
 def q36_catalog_tables(spark: SparkSession, sf: str) -> DataFrame:
-    """Tables read by their catalog names."""
-    register_tables(spark, sf, ["supplier", "nation"], prefix="q36_")
-    s = read_catalog_table(spark, "q36_supplier", ["s_nationkey"])
-    n = read_catalog_table(spark, "q36_nation", ["n_nationkey", "n_name"])
+    """Tables read by their catalog names, which are of this run only."""
+    prefix = f"q36_{uuid.uuid4().hex}_"
+    register_tables(spark, sf, ["supplier", "nation"], prefix=prefix)
+    s = read_catalog_table(spark, f"{prefix}supplier", ["s_nationkey"])
+    n = read_catalog_table(spark, f"{prefix}nation", ["n_nationkey", "n_name"])
+    for name in ("supplier", "nation"):
+        spark.catalog.dropTempView(f"{prefix}{name}")
     return s.join(n, F.col("s_nationkey") == F.col("n_nationkey")).groupBy("n_name").agg(F.count(F.lit(1)).alias("suppliers"))
