@@ -13,7 +13,9 @@ letters (stems, in languages that join words); a value is 1 + log(1 + 1000 x
 occurrences / words), so one hit counts in a long text and density adds to it.
 The labels say whether a document is toxic; how severe it is follows from how dense
 it is in features that its language's clean documents hardly have: toxic
-documents below the median density have grade 1, the others 2.
+documents below the median density have grade 1, the others 2. If all are
+equally dense, the sample does not tell severe ones apart: all have grade 1, and
+the upper threshold is out of reach.
 """
 
 from __future__ import annotations
@@ -38,6 +40,7 @@ STEMS = (4, 5, 6)
 MIN_CHI = 30.0  # chi-square of a feature that is worth a weight
 PER = 1000.0
 GRADES = 3
+UNREACHED = 50.0  # distance of a threshold that no document passes
 REJECT = 0.2
 EDGE = ".,;:!?\"'()[]{}<>|*#$%&-_/\\"
 
@@ -168,14 +171,17 @@ def fit(docs: DataFrame, labels: DataFrame, scratch: Scratch, size: int = SAMPLE
         return {"cols": cols, "vals": vals, "dense": dense}
 
     got = map_texts(rows, vectors, "cols array<int>, vals array<double>, dense double").collect()
+    got.sort(key=lambda r: r.doc_id)  # sums do not follow the order in which tasks end
     scratch.drop(rows)
     label, weight, dense = np.array([r.label for r in got]), np.array([r.weight for r in got]), np.array([r.dense for r in got])
     middle = np.median(dense[label == 1])
     grade = np.where(label == 0, 0, np.where(dense < middle, 1, 2))
-    if (grade == 1).sum() == 0 or (grade == 2).sum() == 0:
-        grade = np.where(label == 1, np.arange(len(label)) % 2 + 1, 0)
+    grades = GRADES if (grade == 1).any() and (grade == 2).any() else 2
+    grade = np.minimum(grade, grades - 1)
     r = np.repeat(np.arange(len(got)), [len(x.cols) for x in got])
-    w, theta = fit_ordinal(r, np.concatenate([np.array(x.cols, np.int64) for x in got]), np.concatenate([np.array(x.vals) for x in got]), grade, weight, len(at))
+    w, theta = fit_ordinal(r, np.concatenate([np.array(x.cols, np.int64) for x in got]), np.concatenate([np.array(x.vals) for x in got]), grade, weight, len(at), grades)
+    if grades < GRADES:
+        theta = np.append(theta, theta[-1] + UNREACHED)
     return Ordinal({f: float(w[i]) for f, i in at.items() if abs(w[i]) > 1e-4}, theta)
 
 

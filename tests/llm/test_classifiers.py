@@ -69,6 +69,19 @@ def test_toxicity_edges(spark):
     assert toxicity.clean(docs.limit(0), none).count() == 0
 
 
+def test_equally_dense_toxic_texts_have_one_grade(spark):
+    """Which rows come first must not decide; there is no severe grade then."""
+    docs = [(i, "vileword " * 3 + "common plain words here" if i % 4 == 0 else "other common plain words here now") for i in range(400)]
+    labels = [(i, int(i % 4 == 0)) for i in range(400)]
+    models = []
+    for order in (docs, docs[::-1]):
+        d = spark.createDataFrame(order, "doc_id long, text string").repartition(3)
+        models.append(toxicity.fit(d, spark.createDataFrame(labels, "doc_id long, toxic int"), Scratch(spark, "t")))
+    assert models[0].weights == models[1].weights and models[0].thresholds.tolist() == models[1].thresholds.tolist()
+    p = models[0].above([models[0].linear(docs[0][1]), models[0].linear(docs[1][1])])
+    assert p[0, 0] > toxicity.REJECT > p[1, 0] and p[0, 1] < 1e-6
+
+
 def test_trees_learn_and_flatten():
     rng = np.random.default_rng(1)
     x = rng.random((3000, 4))
