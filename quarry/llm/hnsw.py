@@ -18,10 +18,11 @@ the node), and the chosen ones take them in, choosing anew where they are full.
 Searching, too, moves many queries at once. Scores returned are inner products
 of the original vectors in double precision, added up in one order.
 
-A graph search per shard and query is what the job costs: shards take
-rows/partitions rows between 2,048 and 65,536, so that a large table has large
-shards. Nothing is kept back for a good result but ``EF``, the width of a search;
-measured recalls are in the README.
+A graph search per shard and query is what the job costs. Shards take
+rows/partitions rows between ``LEAST_SHARD`` and ``MOST_SHARD``: a search as wide as
+``EF`` finds 0.98 of the nearest in a graph of that size but 0.90 in one of 50,000
+(measured on the test tables), and a wider search in larger shards costs as much
+as it saves. So the share found does not fall as the table grows.
 """
 
 from __future__ import annotations
@@ -41,7 +42,7 @@ from quarry.llm.store import locate, new_file, new_folder
 TOP = 20
 LINKS, LINKS_BELOW = 16, 32  # neighbours in upper layers and in the lowest
 EF_BUILD, EF, EF_DOWN = 64, 160, 8
-LEAST_SHARD, MOST_SHARD, QUERIES_A_BLOCK = 2_048, 65_536, 1_024
+LEAST_SHARD, MOST_SHARD, QUERIES_A_BLOCK = 2_048, 16_384, 1_024
 BATCH, AT_ONCE = 256, 4  # nodes that search together; nodes that a search opens in a round
 
 
