@@ -59,11 +59,10 @@ def q27_rgb_to_lab(spark: SparkSession, sf: str) -> DataFrame:
 
 _HSV_SQL = f"""
 WITH {_RGB_SQL},
-m AS (SELECT *, greatest(rr, gg, bb) AS mx, least(rr, gg, bb) AS mn, greatest(rr, gg, bb) - least(rr, gg, bb) AS dd FROM d),
-h AS (SELECT *, (CASE WHEN dd = 0 THEN 0
-                      WHEN rr > gg AND rr > bb THEN (gg - bb) / dd
-                      WHEN gg > bb THEN 2 + (bb - rr) / dd
-                      ELSE 4 + (rr - gg) / dd END) / 6 AS raw FROM m)
+m AS (SELECT *, greatest(rr, gg, bb) AS mx, greatest(rr, gg, bb) - least(rr, gg, bb) AS dd FROM d),
+-- the sextant begins at the greatest channel (the later one on a tie) and is turned by the other two
+h AS (SELECT *, coalesce(CASE mx WHEN bb THEN 4 + (rr - gg) / nullif(dd, 0) WHEN gg THEN 2 + (bb - rr) / nullif(dd, 0)
+                                 ELSE (gg - bb) / nullif(dd, 0) END, 0) / 6 AS raw FROM m)
 SELECT l_orderkey, l_linenumber, r, g, b,
   round(CASE WHEN raw < 0 THEN raw + 1 ELSE raw END, 6) AS hsv_h,
   round(CASE WHEN dd = 0 THEN 0 ELSE dd / mx END, 6) AS hsv_s,

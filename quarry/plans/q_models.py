@@ -129,7 +129,8 @@ def q32_yesterday_as_prediction(spark: SparkSession, sf: str) -> DataFrame:
 
 def colour_words(spark: SparkSession, sf: str) -> DataFrame:
     """`embeddings` as colour words: R, G, B from the first three components
-    (scaled to 0..255), word = the class label."""
+    (scaled to 0..255), word = the class label. The other components have no role:
+    a colour has three."""
     e = table(spark, sf, "embeddings", ["vec_id", "embedding", "label"])
 
     def channel(i: int):

@@ -57,9 +57,9 @@ def area_customers(spark: SparkSession, sf: str) -> DataFrame:
 
 
 _AREA_SQL = """
-    vp AS (SELECT DISTINCT lpad(CAST(n_nationkey AS VARCHAR), 2, '0') AS vp FROM nation),
-    vc AS (SELECT c.c_custkey AS custid, CASE WHEN vp.vp IS NOT NULL THEN 1 ELSE 0 END AS in_area
-           FROM customer c LEFT JOIN vp ON substring(c.c_name, 17, 2) = vp.vp)
+    area_prefix AS (SELECT DISTINCT lpad(CAST(n_nationkey AS VARCHAR), 2, '0') AS two FROM nation),
+    customer_area AS (SELECT c_custkey, CAST(two IS NOT NULL AS INTEGER) AS in_area
+                      FROM customer LEFT JOIN area_prefix ON two = substring(c_name, 17, 2))
 """
 
 
@@ -88,13 +88,13 @@ def q23_payment_average(spark: SparkSession, sf: str) -> DataFrame:
     WITH {_AREA_SQL},
     cust AS (SELECT c.c_custkey AS custid, r.r_name AS province FROM customer c
              JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey)
-    SELECT CASE WHEN vc.in_area = 1 THEN '{IN_AREA}'
-                WHEN vc.in_area = 0 AND cust.province = '{HOME_PROVINCE}' THEN '{HOME_NOT_AREA}'
+    SELECT CASE WHEN customer_area.in_area = 1 THEN '{IN_AREA}'
+                WHEN customer_area.in_area = 0 AND cust.province = '{HOME_PROVINCE}' THEN '{HOME_NOT_AREA}'
                 WHEN cust.province <> '{HOME_PROVINCE}' THEN '{OUTSIDE_HOME}' END AS region,
            CAST(count(o.o_custkey) AS BIGINT) AS number_of_purchases,
            round(avg(o.o_totalprice), 4) AS average_of_purchase,
            round(median(o.o_totalprice), 4) AS median_of_purchase
-    FROM cust JOIN orders o ON cust.custid = o.o_custkey JOIN vc ON cust.custid = vc.custid
+    FROM cust JOIN orders o ON cust.custid = o.o_custkey JOIN customer_area ON cust.custid = customer_area.c_custkey
     GROUP BY 1
     """,
 )
@@ -127,10 +127,10 @@ _ITEMS_SQL = """
 """
 _CATEGORY_SQL = f"""
     WITH {_AREA_SQL}, {_ITEMS_SQL}
-    SELECT vc.in_area, round(avg(l.l_extendedprice), 6) AS average_amount
+    SELECT customer_area.in_area, round(avg(l.l_extendedprice), 6) AS average_amount
     FROM lineitem l JOIN items ON l.l_partkey = items.amenid
-    JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN vc ON vc.custid = o.o_custkey
-    GROUP BY vc.in_area
+    JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN customer_area ON customer_area.c_custkey = o.o_custkey
+    GROUP BY customer_area.in_area
 """
 
 
