@@ -273,7 +273,8 @@ def mask(text: str, spans: list[tuple[str, int, int]]) -> str:
 def with_spans(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with ``text`` replaced by counts of the base kinds, the digest
     of the base spans and all spans. A null or empty text has none; other
-    columns, null ids and repeated rows stay; an empty table gives no rows."""
+    columns (but for those of the made names, which are replaced), null ids and
+    repeated rows stay; an empty table gives no rows."""
 
     def make(texts: list) -> dict:
         found = [find(t) for t in texts]

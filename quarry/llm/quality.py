@@ -118,8 +118,8 @@ def fit(docs: DataFrame, labels: DataFrame, scratch: Scratch, size: int = SAMPLE
 
 def with_score(docs: DataFrame, model: Trees, text: str = "text", cut: float = CUT) -> DataFrame:
     """``docs`` with ``text`` replaced by ``score`` and ``predicted``. A null
-    text is scored as the empty one; null ids and repeated rows stay; an empty
-    table gives no rows. Nothing but the text enters a score."""
+    text is scored as the empty one; null ids and repeated rows stay; columns of
+    the made names are replaced; an empty table gives no rows. Nothing but the text enters a score."""
 
     def make(texts: list) -> dict:
         score = model.score(np.array([statistics(t) for t in texts]))

@@ -191,7 +191,8 @@ def with_severity(docs: DataFrame, model: Ordinal, text: str = "text", keep_text
     ``toxic``, whether it is rejected.
 
     A null or empty text has no features; its score is that of the thresholds.
-    Null ids and repeated rows stay; an empty table gives no rows.
+    Null ids and repeated rows stay; columns of the made names are replaced; an
+    empty table gives no rows.
     """
 
     def make(texts: list) -> dict:

@@ -224,7 +224,9 @@ def write(pages: DataFrame, scratch: Scratch, least: int = LEAST) -> DataFrame:
     """Write a record for each row of ``pages(page_id, url, html)``, a package
     a task; returns the manifest.
 
-    A null html is an empty payload. Rows that share the largest ``page_id`` of
+    A null html is an empty payload. A header holds one line, so a URL loses its
+    control characters and the blanks around it, and a null one is read back as
+    empty. Rows that share the largest ``page_id`` of
     their payload are all responses, so are rows of payloads whose ids are all
     null; a null id below another is a revisit. Other columns are ignored; an
     empty table makes no package.
