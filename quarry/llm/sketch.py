@@ -71,20 +71,27 @@ def with_next(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Da
     after the last row of all follows the first.
 
     Text is shuffled once. The cut points come from the ids alone; the driver
-    sees one id for each partition.
+    sees an id and a hash for each partition.
     """
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), text_of(text).alias("text"))
-    rows, n = with_part(rows, "doc_id", nulls_first=True)
-    first = {r[0]: r[1] for r in rows.groupBy("part").agg(F.max("doc_id")).collect()}
+    tie = F.xxhash64("text")
+    rows, n = with_part(rows, "doc_id", tie, nulls_first=True, ties_down=True)
+    begin = F.struct("doc_id", F.bitwise_not(tie).alias("tie"))  # greatest where a range begins
+    first = {r[0]: r[1] for r in rows.groupBy("part").agg(F.max(begin)).collect()}
     if not first:
         return rows.select("doc_id", "text", F.lit(False).alias("halo"))
     full = sorted(first)
     above = dict(zip(full, [*full[1:], full[0]]))
-    tops = F.element_at(F.array(*[F.lit(first.get(i)).cast("long") for i in range(n)]), F.col("part") + 1)
-    goes = F.element_at(F.array(*[F.lit(above.get(i, -1)).cast("int") for i in range(n)]), F.col("part") + 1)
+    every = [first.get(i) for i in range(n)]
+
+    def at_part(values: list, kind: str) -> Column:
+        return F.element_at(F.array(*[F.lit(v).cast(kind) for v in values]), F.col("part") + 1)
+
+    leads = F.col("doc_id").eqNullSafe(at_part([r and r.doc_id for r in every], "long")) & (F.bitwise_not(tie) == at_part([r and r.tie for r in every], "long"))
+    goes = at_part([above.get(i, -1) for i in range(n)], "int")
     own = F.struct(F.col("part").alias("part"), F.lit(False).alias("halo"))
     halo = F.struct(goes.alias("part"), F.lit(True).alias("halo"))
-    to = F.when(F.col("doc_id").eqNullSafe(tops), F.array(own, halo)).otherwise(F.array(own))
+    to = F.when(leads, F.array(own, halo)).otherwise(F.array(own))
     dealt = rows.select("doc_id", "text", F.explode(to).alias("to")).select("doc_id", "text", "to.part", "to.halo")
     dealt = dealt.repartitionById(n, F.col("part"))
     order = [F.col("halo"), F.col("doc_id").desc_nulls_last(), F.xxhash64("text")]

@@ -203,7 +203,7 @@ def write(docs: DataFrame, tokenizer: str, scratch: Scratch, end_id: int = END_I
     are written each. No row, no file. Other columns are ignored.
     """
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), text_of(text).alias("text"))
-    rows = dealt_by_id(rows, "doc_id").sortWithinPartitions(F.col("doc_id").asc_nulls_last(), F.xxhash64("text"))
+    rows = dealt_by_id(rows, "doc_id", F.xxhash64("text")).sortWithinPartitions(F.col("doc_id").asc_nulls_last(), F.xxhash64("text"))
     folder = new_folder(docs.sparkSession, f"{scratch.name}-files")
     end = struct.pack("<I", end_id)
 
