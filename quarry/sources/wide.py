@@ -30,6 +30,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.datasource import (
     DataSource, DataSourceArrowWriter, DataSourceReader, EqualNullSafe, EqualTo, Filter, GreaterThan, GreaterThanOrEqual, In, InputPartition,
@@ -223,6 +224,8 @@ def register(spark: SparkSession) -> str:
 
 def append(rows: DataFrame, options: dict[str, str], mode: str = "append") -> None:
     """Add rows, sorted by ranges of the key, in one job; ``mode`` overwrite
-    replaces the table's rows."""
+    replaces the table's rows. The rows of one key are dealt by a hash of the row,
+    so that a hot key is written by several tasks."""
     key = options["key"]
-    rows.repartitionByRange(key).sortWithinPartitions(key).write.format(register(rows.sparkSession)).options(**options).mode(mode).save()
+    rest = F.xxhash64(*[F.col(f"`{f.name}`") for f in rows.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))])
+    rows.repartitionByRange(key, rest).sortWithinPartitions(key).write.format(register(rows.sparkSession)).options(**options).mode(mode).save()
