@@ -16,7 +16,8 @@ soon as the sum exceeds the distance. At the bottom the sum is the distance.
 All of it is exact at any distance: no candidate is capped, and there is no
 other path for small or large groups. The fingerprints are distinct, so ranges
 are even. For 2^p ranges a fingerprint is sent to about p * p / 4 of them at
-distance 2, as a number of eight bytes; ``ranges`` keeps p small. A range gives
+distance 2, so there are no more ranges than the tasks' memory asks for: 16 up to
+16 million fingerprints, however many partitions Spark has. A range gives
 back a spanning forest of its links and, for each fingerprint sent to it, one
 link to each component it touches, never its pairs.
 """
@@ -27,6 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -35,7 +37,7 @@ from quarry.llm.components import connected_components, joined
 
 WORDS, BITS = 3, 2
 FAN = 8
-MOST, LEAST, SPREAD = 1 << 20, 1 << 13, 256  # fingerprints of a range, and ranges wanted for the sake of parallel tasks
+MOST, SPREAD = 1 << 20, 16  # fingerprints of a range; ranges of a table that needs no more
 BLOCK = 512  # fingerprints that go down the index together
 
 
@@ -73,10 +75,9 @@ def _gray_rank(code: Column, bits: int) -> Column:
     return code
 
 
-def ranges(n: int, partitions: int) -> int:
-    """Ranges for n fingerprints: of at most ``MOST`` each; more, up to ``SPREAD``
-    or the partitions, as long as a range has ``LEAST``."""
-    return max(1, -(-n // MOST), min(partitions, SPREAD, -(-n // LEAST)))
+def ranges(n: int) -> int:
+    """Ranges for n fingerprints: ``SPREAD``, or as many as hold ``MOST`` each."""
+    return max(SPREAD, -(-n // MOST))
 
 
 class Index:
@@ -131,10 +132,13 @@ def links(reps: DataFrame, scratch: Scratch, bits: int = BITS) -> DataFrame:
     """(a, b): links that join all fingerprints of ``reps(fp)``, which are distinct
     and not null, linked at ``bits`` differing bits."""
     spark = reps.sparkSession
-    n = ranges(reps.count(), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    n = ranges(reps.count())
     rank = _gray_rank(F.col("fp"), 64).bitwiseXOR(F.lit(-1 << 63))  # ranks are unsigned, longs are not
-    dealt = reps.select("fp", rank.alias("rank")).repartitionByRange(n, "rank").sortWithinPartitions("rank")
-    dealt = scratch.write(dealt.select("fp", "rank", F.spark_partition_id().alias("part")), "ranges")
+    ranked = reps.select("fp", rank.alias("rank"))
+    at = ranked.agg(F.percentile_approx("rank", [i / n for i in range(1, n)], 100 * n)).first()[0] or []
+    cut = Bucketizer(splits=[-np.inf, *(sorted({float(x) for x in at}) or [0.0]), np.inf], inputCol="place", outputCol="bucket")
+    dealt = cut.transform(ranked.withColumn("place", F.col("rank").cast("double"))).select("fp", "rank", F.col("bucket").cast("int").alias("part"))
+    dealt = scratch.write(dealt.repartitionById(n, F.col("part")).sortWithinPartitions("rank"), "ranges")
     tops = dealt.groupBy("part").agg(F.expr("bit_and(fp)").alias("both"), F.expr("bit_or(fp)").alias("any")).orderBy("part").collect()  # a row a range
     if not tops:
         return spark.createDataFrame([], "a bigint, b bigint")

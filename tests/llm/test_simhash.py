@@ -96,7 +96,7 @@ def test_the_hierarchy_prunes_the_queries_own_rows(spark):
 
 
 def test_ranges_follow_the_rows():
-    assert simhash.ranges(0, 200) == 1 and simhash.ranges(50_000, 200) == 7 and simhash.ranges(10**8, 2000) == 256 and simhash.ranges(10**10, 2000) == 9537
+    assert simhash.ranges(0) == simhash.ranges(10**7) == 16 and simhash.ranges(10**10) == 9537
 
 
 def test_links_join_all_near_codes_over_many_ranges(spark, monkeypatch):
