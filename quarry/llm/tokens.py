@@ -17,6 +17,8 @@ the file from front to back.
 
 from __future__ import annotations
 
+import itertools
+import os
 import re
 import struct
 import zlib
@@ -25,12 +27,14 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import xxhash
 import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
+from tokenizers.pre_tokenizers import ByteLevel
 
 from quarry.llm.common import Scratch, split_batch, text_of
 from quarry.llm.ranges import dealt_by_id
@@ -40,6 +44,8 @@ END_ID = 1
 DIRECTORY, SEEK, FOOTER = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
 KEPT = 256 << 20  # bytes that the words of a worker take, about; then it starts anew
 ENTRY = 190  # of which for a word, beside its own and its ids' bytes
+LINE, LINES = 256, 128  # words of letters alone that go to the library as one text; such texts at once
+WORDS = 1 << 18  # whose ids are gathered at once
 
 
 class Writer:
@@ -132,7 +138,13 @@ class WordEncoder:
     text's ids are those of its words; each distinct word goes to the library
     once. A-Z are lowered first, as the tokenizer does, unless a mark follows
     one (it could compose with the lowered letter). A word's full stops and
-    commas at the end, after a letter, are a piece of their own.
+    commas at the end, after a Latin-1 letter, are a piece of their own, and count as a
+    word.
+
+    Words of letters alone go to the library many in a line. Each is one piece,
+    and a piece's last token, no other, ends in the vocabulary's end mark, so
+    the ids fall apart behind those; if they are not as many as the words, the
+    line's words go one by one, as all others do.
 
     The strings of special tokens stand for those tokens, as by the library's
     defaults: they are looked for in the text as it is, before letters are
@@ -141,48 +153,84 @@ class WordEncoder:
     """
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         self.library = Tokenizer.from_file(path)
         self.library.encode_special_tokens = True  # cut out before; the library sees look-alikes only
         special = {t.content: i for i, t in self.library.get_added_tokens_decoder().items()}
         self.special = re.compile("|".join(map(re.escape, sorted(special, key=len, reverse=True))) or r"(?!)")
-        self.fixed = {b" " + t.encode(): np.array([i], "<u4").tobytes() for t, i in special.items()}  # no word begins with a blank
-        self.known: dict[bytes, bytes] = dict(self.fixed)
+        self.fixed = {t: np.array([i], "<u4").tobytes() for t, i in special.items()}
+        vocabulary, mark = self.library.get_vocab(with_added_tokens=False), self.library.model.end_of_word_suffix
+        self.ending = np.zeros(1 + max([*vocabulary.values(), *special.values()]), bool)
+        self.ending[[i for t, i in vocabulary.items() if mark and t.endswith(mark)]] = True
+        self.marked = bool(mark) and all(c + mark in vocabulary for c in ByteLevel.alphabet())  # no last byte is lost
+        self.known: dict[bytes, bytes] = {b"": b""}
         self.size = 0
 
-    def _words(self, text: str) -> list[bytes]:
-        raw = text.encode("utf-8", "surrogatepass")
-        return (raw.lower() if raw.isascii() or not MARKED.search(text) else raw).split()
-
-    def _cut(self, text: str) -> list[bytes]:
-        words, at = [], 0
+    def _cut(self, text: str) -> tuple[list[bytes], list[bytes]]:
+        """What lies between special strings, and the ids of those."""
+        parts, ids, at = [], [], 0
         for m in self.special.finditer(text):
-            words += [*self._words(text[at: m.start()]), b" " + m[0].encode()]
+            parts.append(text[at: m.start()])
+            ids.append(self.fixed[m[0]])
             at = m.end()
-        return words + self._words(text[at:])
+        raw = [p.encode("utf-8", "surrogatepass") for p in [*parts, text[at:]]]
+        return [r.lower() if r.isascii() or not MARKED.search(text) else r for r in raw], ids
 
     def encode_batch(self, texts: list) -> list[bytes]:
-        cut = [self._cut(t) if t else [] for t in texts]
+        cut = [self._cut(t or "") for t in texts]
+        parts = iter(self._encode([p for c in cut for p in c[0]]))
+        return [b"".join([next(parts), *(x for i in ids for x in (i, next(parts)))]) for _, ids in cut]
+
+    def _encode(self, parts: list[bytes]) -> list[bytes]:
+        """Each distinct word of the batch is looked up once; Arrow numbers them."""
+        rows = pc.replace_substring_regex(pa.array(parts, pa.large_binary()), STOPS, rb"\1 \2\3").view(pa.large_string())
+        words = pc.ascii_split_whitespace(rows)
+        coded = words.flatten().view(pa.large_binary()).dictionary_encode()
+        found = self._ids(coded.dictionary.to_pylist())
+        size = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        flat, at = np.frombuffer(b"".join(found), "<u4"), np.cumsum(size) - size
+        word = np.asarray(coded.indices)
+        n = size[word]
+        end = np.cumsum(n)
+        ids = np.empty(n.sum(), "<u4")
+        for a in range(0, len(word), WORDS):
+            w, k, e = (x[a: a + WORDS] for x in (word, n, end))
+            first, last = e[0] - k[0], e[-1]
+            ids[first:last] = flat[np.arange(first, last) + np.repeat(at[w] - e + k, k)]
+        cuts = np.r_[0, end][np.asarray(words.offsets) - words.offsets[0].as_py()].tolist()
+        return [ids[i:j].tobytes() for i, j in itertools.pairwise(cuts)]
+
+    def _ids(self, words: list[bytes]) -> list[bytes]:
         if self.size > KEPT:
-            self.known, self.size = dict(self.fixed), 0
-        known = self.known
-        new = set().union(*cut).difference(known) if cut else set()
-        bare = {w: STOPS.fullmatch(w) for w in new}
-        ask = {m[1] if m else w for w, m in bare.items()} | {m[2] for m in bare.values() if m}
-        ask = list(ask.difference(known))
-        for i in range(0, len(ask), 1 << 15):
-            part = ask[i: i + (1 << 15)]
-            for w, e in zip(part, self.library.encode_batch_fast([w.decode("utf-8", "replace") for w in part], add_special_tokens=False)):
-                known[w] = np.array(e.ids, "<u4").tobytes()
-                self.size += ENTRY + len(w) + len(known[w])
-        for w, m in bare.items():
-            if m:
-                known[w] = known[m[1]] + known[m[2]]
-                self.size += ENTRY + len(w) + len(known[w])
-        return [b"".join(map(known.__getitem__, c)) for c in cut]
+            self.known, self.size = {b"": b""}, 0
+        new = [w for w in words if w not in self.known]
+        if new:
+            self._learn(list(zip(new, b"\n".join(new).decode("utf-8", "replace").split("\n"))))
+        return list(map(self.known.__getitem__, words))
+
+    def _learn(self, words: list[tuple[bytes, str]]) -> None:
+        plain = [x for x in words if x[1].isalpha()] if self.marked else []
+        apart = [x for x in words if not x[1].isalpha()] if self.marked else words
+        for i in range(0, len(plain), LINES * LINE):
+            part = [plain[k: k + LINE] for k in range(i, min(i + LINES * LINE, len(plain)), LINE)]
+            for line, e in zip(part, self.library.encode_batch_fast([" ".join([t for _, t in line]) for line in part], add_special_tokens=False)):
+                ids = np.array(e.ids, "<u4")
+                ends = (np.flatnonzero(self.ending[ids]) + 1) * 4
+                if len(ends) != len(line):  # a letter that the normalizer turned into more than a letter
+                    apart += line
+                    continue
+                raw, ends = ids.tobytes(), ends.tolist()
+                self.known.update(zip([w for w, _ in line], [raw[i:j] for i, j in itertools.pairwise([0, *ends])]))
+                self.size += sum([len(w) for w, _ in line]) + ENTRY * len(line) + len(raw)
+        for i in range(0, len(apart), 1 << 15):
+            part = apart[i: i + (1 << 15)]
+            for (w, _), e in zip(part, self.library.encode_batch_fast([t for _, t in part], add_special_tokens=False)):
+                self.known[w] = ids = np.array(e.ids, "<u4").tobytes()
+                self.size += ENTRY + len(w) + len(ids)
 
 
 MARKED = regex.compile(r"[A-Z]\p{M}")
-STOPS = re.compile(rb"(.*[a-zA-Z])([.,]+)", re.DOTALL)
+STOPS = rb"([a-zA-Z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])([.,]+)([ \t\n\v\f\r]|$)"  # behind A-Z and the letters up to U+00FF
 
 
 @lru_cache(maxsize=2)

@@ -34,6 +34,33 @@ def test_special_strings_and_long_words():
     assert [np.frombuffer(x, "<u4").tolist() for x in ENCODER.encode_batch(texts)] == [truth(t) for t in texts]
 
 
+def test_words_of_letters_share_a_library_call(monkeypatch):
+    """CPU: a text a distinct word went to the library before, 1,005 here."""
+    words = [a + b + c for a in "abcdefghij" for b in "klmnopqrst" for c in "uvwxyäßêzé"]
+    texts = [" ".join(words[i: i + 50]) + "., don't x2 ..." for i in range(0, len(words), 10)]
+    enc, asked = tokens.WordEncoder(PATH), []
+    library = enc.library
+
+    class Library:
+        def encode_batch_fast(self, texts, **kw):
+            asked.extend(texts)
+            return library.encode_batch_fast(texts, **kw)
+
+    enc.library = Library()
+    assert [np.frombuffer(x, "<u4").tolist() for x in enc.encode_batch(texts)] == [truth(t) for t in texts]
+    assert len(asked) < 40
+    monkeypatch.setattr(tokens, "WORDS", 7)
+    assert [np.frombuffer(x, "<u4").tolist() for x in enc.encode_batch([None, *texts, ""])] == [[], *[truth(t) for t in texts], []]
+
+
+def test_letters_that_fall_apart_and_odd_blanks():
+    odd = ["\u0958", "a\u0958b", "İ", "ŉ", "ΑΣ", "ﷺ", "ǰ", "가", "\u212b", "日本語", "ªº", "ﬃ", "aİb", "\u0958\u0958", "ʰa", "𝒜𝒷", "ⅷ", "\u0300a"]
+    texts = [f"one {' '.join(odd[i:])} two. {odd[i]}., x" for i in range(len(odd))]
+    texts += [f"{chr(c)}a{chr(c)}b.{chr(c)}c,{chr(c)}" for c in [*range(0x21), 0x7F, 0x85, 0xA0, 0x1680, 0x2028, 0x3000]] + ["a.\nb,.\v\fc.\r\td .", "A. B\u0301. C."]
+    texts += [f"x{chr(c)}., {chr(c)}.\u0301 ..{chr(c)}," for c in range(0x80, 0x180)]
+    assert [np.frombuffer(x, "<u4").tolist() for x in tokens.WordEncoder(PATH).encode_batch(texts)] == [truth(t) for t in texts]
+
+
 class Counting(io.BytesIO):
     got = 0
 
