@@ -1,16 +1,18 @@
 """Embedding near-duplicates by lattice hashing.
 
-A table projects unit vectors onto eight random directions and decodes the
-point, divided by ``SCALE``, to the nearest point of the lattice E8. One such block
-tells about ``CELLS`` cells apart, so a table has as many blocks as keep the
-strangers that a vector meets in a cell below ``CROWD``, however many vectors there
-are (``shape``): one up to 128,000 vectors, two up to 256 million. Each block more
-takes ``TABLE_GROWTH`` times the tables. A vector is stored under its own cell in every
-table and looked up there and in neighbouring cells: those that differ in one
-block, by one of the ``PROBES`` lattice points (of 240) nearest to it. What shares a
-cell is compared by cosine in double precision, so no pair below the threshold
-links; a pair at it is found with a probability of 0.99 (one block), 0.97 (two) or
-0.94 (three), a closer one with more.
+A table projects unit vectors onto eight random directions, ``blocks`` times, and
+decodes the points, divided by ``scale``, to the nearest points of the lattice E8;
+together they name a cell. A vector is stored under its own cell in every table and
+looked up there and in neighbouring cells: those that differ in one block, by one of
+the ``probes`` lattice points (of 240) nearest to it. What shares a cell is compared
+by cosine in double precision, so no pair below the threshold links.
+
+Whether a pair is found depends on its two vectors alone: blocks, tables, probes and
+scale are the same for every table of vectors, so rows that come or go change no
+other pair. A pair at the threshold is found with a probability of 0.994, one of
+cosine 0.958 with 0.997, a closer one with more. Two blocks tell about 17,600 cells of
+random vectors apart: a vector meets about one in 700 of all others, 24 cells taken
+together, so the price of that is a work that grows faster than the table.
 
 Equal vectors are one class from the start. A cell with more than ``CHUNK``
 stored classes is split into chunks, each of which sees all look-ups. Tasks
@@ -35,10 +37,11 @@ from quarry.llm.common import SEED, Scratch
 from quarry.llm.components import connected_components, joined
 
 COSINE = 0.95
-TABLES, PROBES, SCALE = 4, 2, 1.6
+FIXED_BLOCKS, FIXED_TABLES, FIXED_PROBES, FIXED_SCALE = 2, 8, 1, 2.1  # of near_duplicates, however many vectors there are
+TABLES, PROBES, SCALE = 4, 2, 1.6  # of links and of the rule in ``shape``
 CROWD, CELLS = 64, 2000  # strangers wanted in a cell at most; cells that a block tells apart
 TABLE_GROWTH = 2  # tables for each block more
-CHUNK = 2048
+CHUNK = 16_384
 
 _half = [v for v in itertools.product((0.5, -0.5), repeat=8) if sum(x < 0 for x in v) % 2 == 0]
 _whole = [[s if k == i else t if k == j else 0.0 for k in range(8)] for i, j in itertools.combinations(range(8), 2) for s in (1, -1) for t in (1, -1)]
@@ -68,7 +71,9 @@ def unit(x: np.ndarray) -> np.ndarray:
 
 
 def shape(n: int) -> tuple[int, int]:
-    """(blocks, tables) for n distinct vectors."""
+    """(blocks, tables) with ``PROBES`` and ``SCALE`` that keep cells of n distinct
+    vectors small, for a caller who sets them; tables of another shape may miss
+    other pairs, so ``near_duplicates`` does not choose by size."""
     blocks = max(1, math.ceil(math.log(max(n, 2) / CROWD) / math.log(CELLS)))
     return blocks, TABLES * TABLE_GROWTH ** (blocks - 1)
 
@@ -133,7 +138,7 @@ def _file(tables: int, probes: int, scale: float, kind: str, blocks: int):
                 own, near = cells(unit(x), tables, probes, scale, blocks)
                 table = np.arange(tables, dtype=np.int64) << 32
                 keys = [(own + table).tolist(), (near + table[:, None]).reshape(len(at), -1).tolist()]
-                names = np.concatenate([own, near.reshape(len(at), -1)], axis=1).astype("<u4")
+                names = np.concatenate([own[:, :, None], near], axis=2).astype("<u4")
                 yield pa.RecordBatch.from_arrays(
                     [*rows.columns[:3], pa.array(np.full(len(at), dim, np.int32)), *(pa.array(k, pa.list_(pa.int64())) for k in keys),
                      pa.array([r.tobytes() for r in x.astype(kind)], pa.binary()), pa.array([r.tobytes() for r in names], pa.binary())],
@@ -143,21 +148,21 @@ def _file(tables: int, probes: int, scale: float, kind: str, blocks: int):
 
 
 class Side:
-    """Rows of a cell as arrays."""
+    """Rows of one table as arrays, with their cells in the tables up to it."""
 
-    def __init__(self, rows: pa.RecordBatch, tables: int, probes: int, kind: str):
+    def __init__(self, rows: pa.RecordBatch, probes: int, kind: str):
         col = {n: rows.column(i) for i, n in enumerate(rows.schema.names)}
         self.low, self.h, self.n = (np.asarray(col[c], dtype=np.int64) for c in ("low", "h", "n"))
         k = len(self.low)
         self.x = unit(np.frombuffer(b"".join(col["vector"].to_pylist()), kind).reshape(k, -1).astype(np.float64))
-        names = np.frombuffer(b"".join(col["names"].to_pylist()), "<u4").reshape(k, tables * (1 + probes))
-        self.own, self.near = names[:, :tables], names[:, tables:].reshape(k, tables, probes)
+        names = np.frombuffer(b"".join(col["names"].to_pylist()), "<u4").reshape(k, -1, 1 + probes)
+        self.own, self.near = names[:, :, 0], names[:, :, 1:]
 
     @staticmethod
-    def of(sides: list[Side]) -> Side:
+    def of(sides: list[Side], rows: slice = slice(None)) -> Side:
         out = object.__new__(Side)
         for a in ("low", "h", "n", "x", "own", "near"):
-            setattr(out, a, np.concatenate([getattr(s, a) for s in sides]))
+            setattr(out, a, np.concatenate([getattr(s, a) for s in sides]) if len(sides) > 1 else getattr(sides[0], a)[rows])
         return out
 
 
@@ -181,6 +186,8 @@ class Cell:
         step = max(1, (1 << 22) // max(1, len(s.low)))
         for a in range(0, len(q.low), step):
             i, j = np.nonzero(q.x[a: a + step] @ s.x.T >= self.cosine)
+            if not len(i):
+                continue
             i = i + a
             if role == "stored":
                 keep = i < j
@@ -210,35 +217,47 @@ def _found(q: Side, s: Side, i: np.ndarray, j: np.ndarray, same: bool) -> pa.Rec
     return pa.RecordBatch.from_arrays([pa.array(v) for v in (low[on], h[on], low[root[on]], h[root[on]], links[on])], names=[f.split()[0] for f in FOUND.split(", ")])
 
 
-def _compare(tables: int, probes: int, cosine: float, kind: str):
-    """Rows come sorted by cell, chunk and role; stored rows (role 0) first."""
+def _compare(probes: int, cosine: float, kind: str):
+    """Rows come sorted by length, cell, chunk and role; stored rows (role 0) first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, cell = None, None
         for batch in batches:
             if not batch.num_rows:
                 continue
-            cols = [np.asarray(batch.column(k), dtype=np.int64) for k in range(4)]  # g, dim, chunk, role
-            new = np.flatnonzero(np.r_[True, np.any([c[1:] != c[:-1] for c in cols], axis=0)])
+            dim, g, chunk, role = (np.asarray(batch.column(k), dtype=np.int64) for k in range(4))
             rest = batch.select(list(range(4, batch.num_columns)))
-            for a, b in zip(new.tolist(), [*new[1:].tolist(), batch.num_rows]):
-                here = tuple(int(c[a]) for c in cols[:3])
-                role = int(cols[3][a])
-                if here != key:
-                    if cell:
-                        yield from cell.close()
-                    key, cell = here, Cell(here[0] >> 32, cosine)
-                if role == 0:
-                    cell.store(Side(rest.slice(a, b - a), tables, probes, kind))
-                elif cell.parts:
-                    yield from cell.close()
-                    yield from cell.match(Side(rest.slice(a, b - a), tables, probes, kind), "own" if role == 1 else "probe")
+            for first, last in _runs(dim, g >> 32):  # vectors and names of one length
+                side = Side(rest.slice(first, last - first), probes, kind)
+                cells_ = np.array(_runs(g[first:last], chunk[first:last])) + first
+                stored = np.add.reduceat(role[first:last] == 0, cells_[:, 0] - first, dtype=np.int64)
+                use = (stored > 0) & (cells_[:, 1] - cells_[:, 0] > 1)  # others have nothing to compare,
+                use[[0, -1]] = True  # unless they began in the last batch or go on in the next
+                for a, b in cells_[use].tolist():
+                    here = int(dim[a]), int(g[a]), int(chunk[a])
+                    if here != key:
+                        if cell:
+                            yield from cell.close()
+                        key, cell = here, Cell(here[1] >> 32, cosine)
+                    own, probe = (a + np.searchsorted(role[a:b], [1, 2])).tolist()
+                    if own > a:
+                        cell.store(Side.of([side], slice(a - first, own - first)))
+                    for i, j, name in ((own, probe, "own"), (probe, b, "probe")):
+                        if j > i and (cell.parts or cell.stored):
+                            yield from cell.close()
+                            yield from cell.match(Side.of([side], slice(i - first, j - first)), name)
         if cell:
             yield from cell.close()
 
     return run
 
 
+def _runs(*cols: np.ndarray) -> list[tuple[int, int]]:
+    """Bounds of the runs of equal values."""
+    new = np.flatnonzero(np.r_[True, np.any([c[1:] != c[:-1] for c in cols], axis=0)]).tolist()
+    return list(itertools.pairwise([*new, len(cols[0])]))
+
+
 def classes(rows: DataFrame, scratch: Scratch) -> DataFrame:
     """(low, h, n, vector): each distinct usable vector, its smallest id, hash and number of rows."""
     own = rows.where(usable(F.col("vector")) & F.col("vec_id").isNotNull()).groupBy("vector").agg(F.min("vec_id").alias("low"), F.count("*").alias("n"))
@@ -260,27 +279,26 @@ def links(distinct: DataFrame, scratch: Scratch, cosine: float = COSINE, tables:
     home = F.pmod(F.col("h"), chunks).cast("int")
     role = lambda c: F.when(F.col("probe"), 2).when(c == home, 0).otherwise(1)
     rows = rows.withColumn("home", home).withColumn("at", F.explode(F.sequence(F.lit(0), chunks - 1)))
-    rows = rows.select("g", "dim", F.col("at").alias("chunk"), role(F.col("at")).alias("role"), "low", "h", "n", "vector", "names")
+    names = F.substring("names", F.lit(1), (F.shiftright("g", 32) + 1).cast("int") * (4 * (1 + blocks * probes)))  # a pair met before in these tables only
+    rows = rows.select("dim", "g", F.col("at").alias("chunk"), role(F.col("at")).alias("role"), "low", "h", "n", "vector", names.alias("names"))
     n = int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = rows.repartition(n, "g", "dim", "chunk").sortWithinPartitions("g", "dim", "chunk", "role")
-    return rows.mapInArrow(_compare(tables, blocks * probes, cosine, kind), FOUND)
+    rows = rows.repartition(n, "g", "dim", "chunk").sortWithinPartitions("dim", "g", "chunk", "role")
+    return rows.mapInArrow(_compare(blocks * probes, cosine, kind), FOUND)
 
 
-def near_duplicates(vectors: DataFrame, scratch: Scratch, cosine: float = COSINE, blocks: int | None = None, tables: int | None = None,
-                    probes: int = PROBES, scale: float = SCALE, vec_id: str = "vec_id", vector: str = "embedding") -> DataFrame:
+def near_duplicates(vectors: DataFrame, scratch: Scratch, cosine: float = COSINE, blocks: int = FIXED_BLOCKS, tables: int = FIXED_TABLES,
+                    probes: int = FIXED_PROBES, scale: float = FIXED_SCALE, vec_id: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """(vec_id, n_links, component_id, kept) of every row.
 
     A vector that is null, zero, or has a null or non-finite component links
     with nothing; vectors of different lengths never link. Equal vectors, and
-    repeated rows, link with each other. ``blocks`` and ``tables`` follow the number
-    of distinct vectors (``shape``) unless given. A row without id is returned with no
+    repeated rows, link with each other. The number of vectors
+    changes none of ``blocks``, ``tables``, ``probes`` and ``scale``. A row without id is returned with no
     links, no component and not kept, and counts for no other row. An empty
     table gives no rows; other columns are ignored.
     """
     rows = vectors.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(vector).alias("vector"))
     distinct = classes(rows, scratch)
-    by_rows = shape(distinct.count())
-    blocks, tables = blocks or by_rows[0], tables or by_rows[1]
     found = scratch.write(links(distinct, scratch, cosine, tables, probes, scale, blocks), "found")
     node = lambda a, b: F.struct(F.col(a).alias("low"), F.col(b).alias("h"))
     roots = connected_components(found.select(node("low", "h").alias("a"), node("root_low", "root_h").alias("b")), scratch)
